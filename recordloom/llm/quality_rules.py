@@ -28,8 +28,7 @@ SYMBOLS = "#*$%&|<>"
 
 
 def split_words(text: Column) -> Column:
-    bare = F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
-    return F.when(F.coalesce(bare, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{BLANK}+"))
+    return F.array_remove(F.split(text, f"{BLANK}+"), "")
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -53,9 +52,10 @@ def _covered(order: Column, size: int) -> Column:
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
-    """(doc_id, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    """(doc_id, words (their hashes), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
     text = F.coalesce("text", F.lit(""))
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("words", split_words(F.col("text")))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    out = out.select("doc_id", "text", F.transform(split_words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda x: _without(x, " \t\x0b\x0c\r") != "")
     out = out.select(
         "doc_id",
@@ -83,21 +83,21 @@ def base_rules(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-def _bucket(*cols: Column) -> Column:
-    return F.pmod(F.xxhash64(*cols), F.lit(BUCKETS)).cast("int")
+def _bucket(h: Column) -> Column:
+    return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
-def _buckets(words: Column) -> Column:
-    pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: _bucket(F.get(words, i), F.get(words, i + 1)))
-    return F.concat(F.transform(words, lambda w: _bucket(w)), F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<int>")))
+def _pairs(words: Column) -> Column:
+    """Hashes of the neighbouring pairs of a column of word hashes."""
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), lambda h, i: F.xxhash64(h, F.get(words, i + 1)))
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
     """Log ratio of each bucket: trusted over raw.  ``trusted`` (doc_id) has at most TRUSTED rows."""
     ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED).withColumn("good", F.lit(1))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left")
-    own = own.select("good", split_words(F.col("text")).alias("words"))
-    each = own.select("good", F.explode(_buckets(F.col("words"))).alias("b"))
+    own = own.select("good", F.transform(split_words(F.coalesce("text", F.lit(""))), lambda w: F.xxhash64(w)).alias("words"))
+    each = own.select("good", F.explode(F.concat("words", _pairs(F.col("words")))).alias("h")).select("good", _bucket(F.col("h")).alias("b"))
     rows = each.groupBy("b").agg(F.count("*").alias("raw"), F.count("good").alias("good")).collect()  # BUCKETS rows at most
     raw, good = sum(r.raw for r in rows), sum(r.good for r in rows)
     out = [0.0] * BUCKETS
@@ -111,13 +111,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame) -> list[float]:
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: the base figures, ``ratio`` (mean log ratio) and ``kept``."""
     ratios = F.split(F.lit(",".join(map(str, log_ratios(docs, trusted)))), ",").cast("array<double>")  # folded to one literal
-    words, n = F.col("words"), F.size("words")
-
-    def term(s: Column, i: Column) -> Column:
-        one = F.get(ratios, _bucket(F.get(words, i)))
-        two = F.when(i + 1 < n, F.get(ratios, _bucket(F.get(words, i), F.get(words, i + 1)))).otherwise(F.lit(0.0))
-        return s + one + two
-
-    total = F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0.0), term)
-    out = base_rules(docs).withColumn("ratio", F.when(n > 0, total / (2 * n - 1)).otherwise(F.lit(0.0)))
-    return out.drop("words").withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+    add = lambda s, h: s + F.get(ratios, _bucket(h))
+    out = base_rules(docs).withColumn("pairs", _pairs(F.col("words")))
+    total = F.aggregate("words", F.lit(0.0), add) + F.aggregate("pairs", F.lit(0.0), add)
+    out = out.withColumn("ratio", F.when(F.size("words") > 0, total / (F.size("words") + F.size("pairs"))).otherwise(F.lit(0.0)))
+    return out.drop("words", "pairs").withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, rans, simhash, token_counts, topk
+from . import bpe, licences, packing, quality, quality_rules, rans, simhash, token_counts, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,27 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").where("quality = 1")
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), labels)
+
+
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -53,6 +74,10 @@ def queries() -> dict:
     return {
         "op1_topk": op1_topk,
         "op2_bpe": op2_bpe,
+        "op3_toxicity": op3_toxicity,
+        "op4_quality": op4_quality,
+        "op5_quality_rules": op5_quality_rules,
+        "op6_licences": op6_licences,
         "op7_packing": op7_packing,
         "op8_token_files": op8_token_files,
         "op9_token_counts": op9_token_counts,
