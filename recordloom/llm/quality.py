@@ -105,8 +105,8 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
-def _train(pos: np.ndarray, unl: np.ndarray, gradient, rng: np.random.Generator, steps: int) -> Net:
-    net = Net(pos.shape[1], 16, rng)
+def _train(pos: np.ndarray, unl: np.ndarray, gradient, rng: np.random.Generator, steps: int, net: Net | None = None) -> Net:
+    net = net or Net(pos.shape[1], 16, rng)
     for _ in range(steps):
         p, u = pos[rng.integers(0, len(pos), 256)], unl[rng.integers(0, len(unl), 256)]
         x = np.concatenate([p, u])
@@ -155,13 +155,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
     pos, unl = rng.permutation(scale(pos)), rng.permutation(scale(unl))
     prior = estimate_prior(pos, unl, rng)
 
-    def gradient(p: np.ndarray, u: np.ndarray) -> np.ndarray:
+    def logistic(p: np.ndarray, u: np.ndarray) -> np.ndarray:
         as_negative = np.log1p(np.exp(np.clip(u, -50, 50))).mean() - prior * np.log1p(np.exp(np.clip(p, -50, 50))).mean()
         if as_negative < 0:  # step back until the risk is no longer negative
             return np.concatenate([prior * _sigmoid(p) / len(p), -_sigmoid(u) / len(u)])
         return np.concatenate([prior * (_sigmoid(p) - 1) / len(p) - prior * _sigmoid(p) / len(p), _sigmoid(u) / len(u)])
 
-    net = _train(pos, unl, gradient, rng, 3000)
+    def bounded(p: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The same risk with the sigmoid loss: sure positives of a batch no longer drown the rest."""
+        s, t = _sigmoid(p), _sigmoid(u)
+        dp, du = prior * s * (1 - s) / len(p), t * (1 - t) / len(u)
+        return np.concatenate([dp, -du]) if t.mean() < prior * s.mean() else np.concatenate([-2 * dp, du])
+
+    net = _train(pos, unl, logistic, rng, 1500)
+    net = _train(pos, unl, bounded, rng, 1500, net)
     return {"mean": mean, "dev": dev, "w": net.w, "prior": prior}
 
 

@@ -7,7 +7,7 @@
 3. Words and word beginnings of restored text are counted in toxic and other documents of at most ``SAMPLE``
    labelled rows (in hash order).  A greedy cover takes the beginnings and words that explain toxic documents not
    yet explained, so words of a group of copies bring nothing once its cause is found.  A document's score is the
-   logistic of the prior and the log odds of the distinct entries it holds.
+   logistic of the prior log odds (of texts without an entry) and of what its distinct entries add to them.
 
 Defined results: null text is empty; an empty text scores the prior of texts without an entry; repeated rows give
 repeated rows; null doc_id is carried (and is in no labelled row); without labelled rows of both kinds every score is 0;
@@ -230,10 +230,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         if gain < LEAST:
             break
         bad, good = odds[f]
-        lexicon[f] = math.log((bad + 0.5) / (bad_n + 1)) - math.log((good + 0.5) / (good_n + 1))
+        lexicon[f] = math.log((bad + 0.5) / (good + 0.5))
         left -= holders.pop(f)
     plain = sum(1 for r in rows if not r.y and not any(f in lexicon for f in r.found))
     prior = math.log((len(left) + 0.5) / (plain + 0.5)) if bad_n and good_n else None
+    if prior is not None:  # a text with one entry gets that entry's odds
+        lexicon = {f: w - prior for f, w in lexicon.items()}
     return {"counts": counts, "lexicon": lexicon, "prior": prior}
 
 
