@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import slices, stored, texts_of, threshold_for_head
-from .words import WordEncoder, encoder, tokenizer
+from .words import BYTE_CHARS, WordEncoder, encoder, tokenizer
 
 #: Most words in the table that every task gets; about 30 bytes each.
 HEAD_WORDS = 200_000
@@ -85,9 +85,7 @@ def encode_documents(docs: DataFrame, path: str, kind: str = "byte", head_words:
 def pieces_of(path: str) -> pa.BinaryArray:
     """The bytes of each id of a byte-level vocabulary; ids that it lacks have none."""
     tok = tokenizer(path)
-    # The byte-level alphabet: printable bytes stand for themselves, the rest for code points from 256 on.
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    to_byte = {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(own))}
+    to_byte = {c: b for b, c in BYTE_CHARS.items()}
     vocab = tok.get_vocab(with_added_tokens=True)
     pieces = [b""] * (max(vocab.values()) + 1)
     for piece, i in vocab.items():

@@ -26,6 +26,11 @@ LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 4, 5
 PLANES = 0x30000
 
 
+#: The byte-level alphabet: printable bytes stand for themselves, the rest for code points from 256 on.
+_OWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: chr(b) for b in _OWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in set(_OWN))}
+
+
 def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -186,6 +191,7 @@ class WordEncoder:
 
     def __init__(self, path: str, kind: str, table: dict[str, bytes] | None = None, most: int = 300_000):
         self.tok, self.kind, self.table, self.most = tokenizer(path), kind, table or {}, most
+        self.model = self.tok.model
         self.cache: dict[str, bytes] = {}
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.encoded = 0
@@ -196,10 +202,9 @@ class WordEncoder:
             cache.clear()
         out = [table.get(w) or cache.get(w) for w in words] if table else [cache.get(w) for w in words]
         lack = [i for i, x in enumerate(out) if x is None]
-        for k in range(0, len(lack), 20_000):
-            part = lack[k : k + 20_000]
-            for i, e in zip(part, self.tok.encode_batch_fast([words[i] for i in part], add_special_tokens=False), strict=True):
-                out[i] = cache[words[i]] = np.array(e.ids, np.uint32).tobytes()
+        for i in lack:  # a pre-token needs no more normalising or splitting: straight to the merges
+            merged = self.model.tokenize("".join(map(BYTE_CHARS.__getitem__, words[i].encode())))
+            out[i] = cache[words[i]] = np.array([t.id for t in merged], np.uint32).tobytes()
         self.encoded += len(lack)
         return out
 
