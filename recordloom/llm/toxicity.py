@@ -4,9 +4,9 @@
 2. A token that is no plain word becomes a lattice: a letter stands for itself, a digit or sign for the letters it
    may imitate or for nothing, a run of one letter for one or two of it; a run of single-letter tokens is one lattice.
    Viterbi decoding finds the likeliest letters under the trigram model.
-3. Words and word beginnings of restored text are counted in toxic and other documents of at most ``SAMPLE``
-   labelled rows (in hash order).  A greedy cover takes the beginnings and words that explain toxic documents not
-   yet explained, so words of a group of copies bring nothing once its cause is found.  A document's score is the
+3. Words, word beginnings, and beginnings that two or three different words of a text share are counted in toxic and
+   other documents of at most ``SAMPLE`` labelled rows (in hash order).  A greedy cover takes those that explain toxic
+   documents not yet explained, so words of a group of copies bring nothing once its cause is found.  A document's score is the
    logistic of the prior log odds (of texts without an entry) and of what its distinct entries add to them.
 
 Defined results: null text is empty; an empty text scores the prior of texts without an entry; repeated rows give
@@ -34,6 +34,8 @@ from .words import END, SPACE, class_table, code_points, token_array
 SAMPLE = 12_000
 #: A lexicon entry explains at least so many toxic documents of the sample, and this share of those it is in.
 LEAST, PRECISION = 6, 0.8
+#: Near the end of the cover, an entry may explain as few as FEW new documents if it is in OFTEN toxic ones, at this share.
+FEW, OFTEN, SURE = 2, 30, 0.95
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 #: Letters that a sign may stand for.
@@ -128,8 +130,18 @@ class Channel:
         return tuple(dict.fromkeys(w for w in words if w))
 
 
+#: A beginning is a feature anew when so many different words of a text have it, and again when they are one in RATE of its words.
+SHARED, RATE = (2, 3), 200
+
+
 def features(word: str) -> list[str]:
-    return [word, *(f"^{word[:n]}" for n in (4, 5) if len(word) > n)]
+    return [word, *(f"^{word[:n]}" for n in range(4, 8) if len(word) > n)]
+
+
+def lexicon_picker(entries):
+    """What to read for a lexicon: its entries, and the beginnings that its entries count."""
+    wanted = set(entries) | {f[f.index("^") :] for f in entries if "^" in f}
+    return lambda f: f if f in wanted else None
 
 
 class Reader:
@@ -166,8 +178,15 @@ class Reader:
         doc = np.searchsorted(ends, at)
         out: list[set] = [set() for _ in texts]
         hit = np.flatnonzero(has[idx])
+        shared: list[Counter] = [Counter() for _ in texts]
         for d, k in set(zip(doc[hit].tolist(), idx[hit].tolist(), strict=True)):
             out[d].update(found[k])
+            shared[d].update(f for f in found[k] if f[0] == "^")
+        for own, counts, words in zip(out, shared, np.bincount(doc, minlength=len(texts)).tolist(), strict=True):
+            for f, c in counts.items():
+                for n in SHARED:
+                    if c >= n:
+                        own.update((f"{n}{f}", f"{n}~{f}") if c * RATE >= words else (f"{n}{f}",))
         # runs of four or more single letters within one text are one word spaced out
         one = (length == 1) & (np.concatenate([[1], np.diff(doc)]) == 0) if len(doc) else np.zeros(0, bool)
         run = np.flatnonzero(one)
@@ -210,10 +229,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     odds = {r.f: (r.bad, r.good) for r in able.collect()}  # bounded by the sample
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(counts, lambda f: f if f in odds else None)
+        reader = Reader(counts, lexicon_picker(odds))
         for batch in batches:
             for part in slices(batch):
-                found = [sorted(x) for x in reader.read(texts_of(part))]
+                found = [sorted(f for f in x if f in odds) for x in reader.read(texts_of(part))]
                 yield pa.record_batch([part.column(2), pa.array(found, pa.list_(pa.string()))], names=["y", "found"])
 
     rows = own.mapInArrow(hold, "y int, found array<string>").collect()
@@ -225,13 +244,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
                 holders.setdefault(f, set()).add(i)
     lexicon: dict[str, float] = {}
     left = {i for i, r in enumerate(rows) if r.y}
-    while holders:
-        gain, f = max(((len(h & left), f) for f, h in holders.items()), key=lambda x: (x[0], len(x[1]) * -1, x[1]))
-        if gain < LEAST:
-            break
-        bad, good = odds[f]
-        lexicon[f] = math.log((bad + 0.5) / (good + 0.5))
-        left -= holders.pop(f)
+    for gain_needed, often, precision in ((LEAST, LEAST, PRECISION), (FEW, OFTEN, SURE)):
+        able_now = {f: h for f, h in holders.items() if f not in lexicon and odds[f][0] >= often and odds[f][0] >= precision * sum(odds[f])}
+        while able_now:
+            gain, f = max(((len(h & left), f) for f, h in able_now.items()), key=lambda x: (x[0] - odds[x[1]][1], x[0], -len(x[1]), x[1]))
+            if gain < gain_needed:
+                break
+            bad, good = odds[f]
+            lexicon[f] = math.log((bad + 0.5) / (good + 0.5))
+            left -= able_now.pop(f)
     plain = sum(1 for r in rows if not r.y and not any(f in lexicon for f in r.found))
     prior = math.log((len(left) + 0.5) / (plain + 0.5)) if bad_n and good_n else None
     if prior is not None:  # a text with one entry gets that entry's odds
@@ -247,14 +268,14 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        weights = Reader(m["counts"], lambda f: f if f in m["lexicon"] else None)
+        weights = Reader(m["counts"], lexicon_picker(m["lexicon"]))
         for batch in batches:
             for part in slices(batch):
                 found = weights.read(texts_of(part))
                 if m["prior"] is None:
                     s = np.zeros(len(found))
                 else:
-                    s = np.array([1 / (1 + math.exp(-max(-50.0, min(50.0, m["prior"] + sum(m["lexicon"][f] for f in sorted(x)))))) for x in found])
+                    s = np.array([1 / (1 + math.exp(-max(-50.0, min(50.0, m["prior"] + sum(m["lexicon"].get(f, 0.0) for f in sorted(x)))))) for x in found])
                 yield pa.record_batch([*part.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=[*part.schema.names, "score", "predicted"])
 
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)

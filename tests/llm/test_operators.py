@@ -99,6 +99,24 @@ def test_op3(spark, nothing):
     assert toxicity.score(nothing, toxicity.fit(nothing, lab.where("false"))).count() == 0
 
 
+def test_op3_shared_beginnings(spark):
+    """A stem with changing endings marks a text that has it often in little room, not one that has it once or rarely."""
+    rng = random.Random(9)
+    end = lambda: "".join(rng.choice("aeioulnrst") for _ in range(4))
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 6 == 0
+        w = [rng.choice(["river", "runs", "over", "stone", "field"]) for _ in range(40)]
+        for k in range(3 if toxic else i % 3 == 0):
+            w[5 + 9 * k] = "grumpf" + end()
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    rows += [(1000, "over stone grumpfabab runs grumpfotot field grumpfusus"), (1001, "grumpfabab " + "river " * 900 + "grumpfotot"), (1002, "grumpfabab runs grumpfabab over")]
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(df, toxicity.fit(df, lab)).collect()}
+    assert got == dict(labels) | {1000: 1, 1001: 0, 1002: 0}
+
+
 def test_op4(spark, nothing):
     rng = random.Random(8)
     w = ["the", "river", "runs", "over", "stone", "and", "green", "field", "quiet", "evening"]
