@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -200,11 +201,14 @@ class WordEncoder:
         table, cache = self.table, self.cache
         if len(cache) > self.most:
             cache.clear()
-        out = [table.get(w) or cache.get(w) for w in words] if table else [cache.get(w) for w in words]
+        out = [table.get(w) or cache.get(w) for w in words] if table else list(map(cache.get, words))
         lack = [i for i, x in enumerate(out) if x is None]
+        merges = self.model.tokenize
         for i in lack:  # a pre-token needs no more normalising or splitting: straight to the merges
-            merged = self.model.tokenize("".join(map(BYTE_CHARS.__getitem__, words[i].encode())))
-            out[i] = cache[words[i]] = np.array([t.id for t in merged], np.uint32).tobytes()
+            w = words[i]
+            # ASCII letters and digits are their own byte characters
+            merged = merges(w if w.isascii() and w.isalnum() else "".join(map(BYTE_CHARS.__getitem__, w.encode())))
+            out[i] = cache[w] = array("I", [t.id for t in merged]).tobytes()
         self.encoded += len(lack)
         return out
 
