@@ -41,7 +41,7 @@ def distinct_words(docs: DataFrame, path: str, kind: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, kind)
         for batch in batches:
-            for part in slices(batch, chars=4_000_000):
+            for part in slices(batch):
                 _, distinct, idx, _ = enc.split(texts_of(part))
                 n = np.bincount(idx, minlength=len(distinct)).astype(np.int64)
                 yield pa.record_batch([distinct, pa.array(n)], names=["word", "n"])
@@ -74,7 +74,7 @@ def encode_documents(docs: DataFrame, path: str, kind: str = "byte", head_words:
         words, ids = shared.value
         enc = WordEncoder(path, kind, dict(zip(words.to_pylist(), ids.to_pylist(), strict=True)), most=100_000)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, chars=1_000_000):
                 flat, off = enc.encode(texts_of(part))
                 out = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.astype(np.int32)))
                 yield pa.record_batch([part.column(0), out], names=["doc_id", "ids"])
