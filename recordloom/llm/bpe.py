@@ -62,8 +62,8 @@ def word_table(words: DataFrame, path: str, kind: str) -> DataFrame:
     return words.select("word").mapInArrow(encode, "word string, ids binary")
 
 
-def encode_documents(docs: DataFrame, path: str, kind: str = "byte", head_words: int = HEAD_WORDS) -> DataFrame:
-    """(doc_id, ids array<int>) of every row of ``docs`` (doc_id, text)."""
+def _encode(docs: DataFrame, path: str, kind: str, head_words: int):
+    """The function that encodes batches of (doc_id, text), with the table of the commonest words of ``docs``."""
     spark = docs.sparkSession
     counts = stored(distinct_words(docs, path, kind), "words")
     least = threshold_for_head(counts, "n", head_words)
@@ -79,6 +79,12 @@ def encode_documents(docs: DataFrame, path: str, kind: str = "byte", head_words:
                 out = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(flat.astype(np.int32)))
                 yield pa.record_batch([part.column(0), out], names=["doc_id", "ids"])
 
+    return encode
+
+
+def encode_documents(docs: DataFrame, path: str, kind: str = "byte", head_words: int = HEAD_WORDS) -> DataFrame:
+    """(doc_id, ids array<int>) of every row of ``docs`` (doc_id, text)."""
+    encode = _encode(docs, path, kind, head_words)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(encode, "doc_id long, ids array<int>")
 
 
@@ -93,8 +99,8 @@ def pieces_of(path: str) -> pa.BinaryArray:
     return pa.array(pieces, pa.binary())
 
 
-def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
-    """``encoded`` (doc_id, ids) with the decoded ``text`` beside the ids; bytes that are no UTF-8 become U+FFFD."""
+def _decode(path: str):
+    """The function that puts the decoded text beside the ids of batches of (doc_id, ids)."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(path)
@@ -109,12 +115,20 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
                 text = [x.decode("utf-8", "replace") for x in joined.to_pylist()]
                 yield pa.record_batch([part.column(0), ids, pa.array(text, pa.string())], names=["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids array<int>, text string")
+    return decode
+
+
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
+    """``encoded`` (doc_id, ids) with the decoded ``text`` beside the ids; bytes that are no UTF-8 become U+FFFD."""
+    return encoded.select("doc_id", "ids").mapInArrow(_decode(path), "doc_id long, ids array<int>, text string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """The query's rows: token count and digests of the ids and of the decoded text."""
-    both = decode_documents(encode_documents(docs, path), path)
+    # in one Python worker a task: ids go to the decoder without a second worker's memory
+    encode, decode = _encode(docs, path, "byte", HEAD_WORDS), _decode(path)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    both = own.mapInArrow(lambda batches: decode(encode(batches)), "doc_id long, ids array<int>, text string")
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
