@@ -1,14 +1,14 @@
 """Quality rules: word statistics, and a hashed n-gram log-likelihood ratio between trusted and raw text.
 
 Words and pairs of words are hashed into ``BUCKETS``.  The raw multinomial counts every document; the trusted
-one counts the documents of at most 20,000 trusted ids.  Ids fall into ``FOLDS`` by hash, and a document is judged by the
+one counts every document of the given trusted ids.  Ids fall into ``FOLDS`` by hash, and a document is judged by the
 counts of the other folds only, so neither it nor a repeated row of its id speaks for itself, be it trusted or not.
 A bucket's log ratio is that of its trusted count to the one expected from its raw count, each with ``PSEUDO`` added:
 what other documents do not have is neutral, and what they have rarely is nearly so.  A document's verdict is the mean
 log ratio of its words and pairs against a fixed threshold.  Everything is DataFrame expressions: two passes over
 the texts, one shuffle of texts and one of bucket counts.
 
-BUCKETS rows at most come back from the counting pass.
+There is no bound on trusted ids; BUCKETS rows at most come back from the counting pass.
 
 Defined results: null text has no words and fails the base rules; repeated rows give repeated rows and count each;
 null doc_id is carried and never trusted; without trusted documents every ratio is 0 and only the base rules
@@ -104,7 +104,7 @@ def bucket_counts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     The join is a shuffle of texts by id with hash tables of the ids of one partition, so no table of ids goes to all
     tasks; rows without an id are spread by their text and never match.
     """
-    has, ids = F.col("doc_id").isNotNull(), trusted.select(F.col("doc_id").cast("long").alias("k")).where("k IS NOT NULL").distinct().orderBy(F.xxhash64("k"), "k").limit(20_000)
+    has, ids = F.col("doc_id").isNotNull(), trusted.select(F.col("doc_id").cast("long").alias("k")).where("k IS NOT NULL").distinct()
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     own = own.select(F.coalesce("doc_id", F.xxhash64("text")).alias("k"), has.alias("has"), _fold(F.col("doc_id")).alias("fold"), "text")
     own = own.join(ids.select("k", F.lit(True).alias("has"), F.lit(1).alias("good")).hint("shuffle_hash"), ["k", "has"], "left")

@@ -159,6 +159,12 @@ def test_op5_good_text_outside_the_trusted(spark):
     assert all(r.kept for r in quality_rules.judge(df, df.where("doc_id % 2 = 0")).collect())
 
 
+def test_op5_all_trusted_ids_count(spark):
+    """Where every document is trusted, beyond 20,000 as well, trusted and raw text are the same."""
+    df = spark.range(25_000).selectExpr("id AS doc_id", "concat('w', id % 7, ' w', id % 11, ' w', id % 13) AS text")
+    assert quality_rules.judge(df, df.select("doc_id")).where("ratio <> 0").count() == 0
+
+
 def test_op6(table, nothing, spark):
     rows, df = table
     got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licences.scan(df).collect()}
