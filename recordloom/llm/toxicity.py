@@ -2,8 +2,8 @@
 
 1. A character trigram model is counted over all texts: tasks send their trigram counts, at most 64**3 of them.
 2. A token that is no plain word becomes a lattice: a letter stands for itself, a digit or sign for the letters it
-   may imitate or for nothing, a run of one letter for one or two of it; a run of single-letter tokens is one lattice.
-   Viterbi decoding finds the likeliest letters under the trigram model.
+   may imitate or for nothing, a run of one letter for one or two of it; a run of single-letter tokens is one lattice,
+   read as one word and with word ends inside, whatever its length.  Viterbi decoding finds the likeliest letters under the trigram model.
 3. Words, word beginnings, and beginnings that two or three different words of a text share are counted in toxic and
    other documents of at most ``SAMPLE`` labelled rows (in hash order).  A greedy cover takes those that explain toxic
    documents not yet explained, so words of a group of copies bring nothing once its cause is found.  A document's score is the
@@ -45,7 +45,11 @@ CODE = {c: i + 1 for i, c in enumerate(ALPHABET)}
 
 PLAIN = re.compile(rf"[{ALPHABET}]+")
 EDGES = re.compile(rf"^[^{ALPHABET}0-9@$|!+€*]+|[.,;:?!)\]}}\"'…»%&#*$|<>]+$")
-RUN = re.compile(r"(.)\1\1+")
+RUN, DOUBLE = re.compile(r"(.)\1\1+"), re.compile(r"(.)\1")
+#: Signs between words glued together: neither letters nor signs that imitate one.
+GLUE = re.compile(rf"[^{ALPHABET}{re.escape(''.join(LOOKS))}]+")
+#: Longer tokens are also parted into words, and not kept in memory.
+LONG = 40
 
 
 def _codes() -> np.ndarray:
@@ -79,7 +83,7 @@ class Channel:
     def __init__(self, counts: np.ndarray):
         cube = counts.reshape(64, 64, 64).astype(float) + 0.01
         self.log = np.log(cube / cube.sum(axis=2, keepdims=True))
-        self.cache: dict[str, str] = {}
+        self.cache: dict[tuple[str, bool], str] = {}
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
         out, i = [], 0
@@ -98,37 +102,61 @@ class Channel:
             i = j
         return out
 
-    def decode(self, token: str) -> str:
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    def decode(self, token: str, bounds: bool = False) -> str:
+        """The likeliest letters; with ``bounds`` words may end anywhere, and blanks part them."""
+        paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # back pointers, so that cost is linear
         for options in self.lattice(token):
-            nxt: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in paths.items():
-                for letters, cost in options:
-                    s, x, y = score - cost, a, b
-                    for c in letters:
-                        k = CODE[c]
-                        s += self.log[x, y, k]
-                        x, y = y, k
-                    if (x, y) not in nxt or nxt[x, y] < (s, text + letters):
-                        nxt[x, y] = (s, text + letters)
+            nxt: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for (a, b), (score, back) in paths.items():
+                starts = [(score, a, b, "")]
+                if bounds and b:
+                    starts.append((score + self.log[a, b, 0], b, 0, " "))
+                for first, p, q, blank in starts:
+                    for letters, cost in options:
+                        s, x, y = first - cost, p, q
+                        for c in letters:
+                            k = CODE[c]
+                            s += self.log[x, y, k]
+                            x, y = y, k
+                        if (x, y) not in nxt or nxt[x, y][0] < s:
+                            nxt[x, y] = (s, (back, blank + letters))
             paths = nxt
-        return max((s + self.log[a, b, 0], t) for (a, b), (s, t) in paths.items())[1] if paths else ""
+        back, out = max(((s + self.log[a, b, 0], t) for (a, b), (s, t) in paths.items()), key=lambda x: x[0])[1], []
+        while back:
+            back, letters = back
+            out.append(letters)
+        return "".join(reversed(out))
+
+    def decoded(self, token: str, bounds: bool = False) -> str:
+        if len(token) > LONG:
+            return self.decode(token, bounds)
+        if len(self.cache) > 100_000:
+            self.cache.clear()
+        key = (token, bounds)
+        if key not in self.cache:
+            self.cache[key] = self.decode(token, bounds)
+        return self.cache[key]
 
     def restore(self, token: str) -> tuple[str, ...]:
         """The words of a lower-case token."""
         core = EDGES.sub("", token)
         if PLAIN.fullmatch(core) and not RUN.search(core):
             return (core,)
-        words = tuple(w for w in re.findall(rf"[{ALPHABET}]+", token) if len(w) > 1)
-        bare = EDGES.sub("", token) or token
-        if len(bare) <= 40 and any(c in CODE for c in bare):
-            if len(self.cache) > 100_000:
-                self.cache.clear()
-            if bare not in self.cache:
-                self.cache[bare] = self.decode(bare)
-            words += (self.cache[bare],)
+        words = (core,) if PLAIN.fullmatch(core) and not RUN.search(core) else tuple(w for w in re.findall(rf"[{ALPHABET}]+", token) if len(w) > 1)
+        bare = core or token
+        if len(bare) <= LONG and any(c in CODE for c in bare):
+            words += (self.decoded(bare),)
+            parts = [x for x in GLUE.split(bare) if x]
+            if len(parts) > 1:  # words glued by signs that imitate no letter
+                words += tuple(self.decoded(x) for x in parts if len(x) > 1)
+            if len(bare) > LONG:
+                words += tuple(self.decoded(bare, True).split())
         return tuple(dict.fromkeys(w for w in words if w))
 
+    def spaced(self, letters: str) -> tuple[str, ...]:
+        """The words of a run of single letters: all of it as one, and parted where words are likely to end."""
+        return tuple(dict.fromkeys(w for w in (*self.restore(letters), *self.decoded(letters, True).split()) if w))
+
 
 #: A beginning is a feature anew when so many different words of a text have it, and again when they are one in RATE of its words.
 SHARED, RATE = (2, 3), 200
@@ -151,13 +179,18 @@ class Reader:
         self.channel, self.pick = Channel(counts), pick
         self.cache: dict[str, tuple] = {}
 
+    def picked(self, words: tuple[str, ...]) -> tuple:
+        found = (self.pick(f) for w in words for f in features(w))
+        return tuple(dict.fromkeys(x for x in found if x is not None))
+
     def of_token(self, token: str) -> tuple:
         got = self.cache.get(token)
         if got is None:
             if len(self.cache) > 300_000:
                 self.cache.clear()
-            found = (self.pick(f) for w in self.channel.restore(token) for f in features(w))
-            got = self.cache[token] = tuple(dict.fromkeys(x for x in found if x is not None))
+            got = self.picked(self.channel.restore(token))
+            if len(token) <= LONG:
+                self.cache[token] = got
         return got
 
     def read(self, texts: list[str]) -> list[set]:
@@ -194,7 +227,7 @@ class Reader:
             if len(part) >= 3:
                 first = part[0] - 1 if length[part[0] - 1] == 1 else part[0]
                 if part[-1] - first >= 3:
-                    out[doc[part[0]]].update(self.of_token("".join(tokens.slice(first, part[-1] - first + 1).to_pylist())[:60]))
+                    out[doc[part[0]]].update(self.picked(self.channel.spaced("".join(tokens.slice(first, part[-1] - first + 1).to_pylist()))))
         return out
 
 

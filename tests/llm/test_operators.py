@@ -117,6 +117,24 @@ def test_op3_shared_beginnings(spark):
     assert got == dict(labels) | {1000: 1, 1001: 0, 1002: 0}
 
 
+@pytest.fixture(scope="module")
+def channel():
+    text = "you are an idiot and a moron said the man in an old house; scum of the river runs over a stone and an inn " * 50
+    counts, c = np.zeros(1 << 18, np.int64), [toxicity.CODE.get(x, 0) for x in text]
+    for a, b, d in zip(c, c[1:], c[2:], strict=False):
+        counts[a << 12 | b << 6 | d] += 1
+    return toxicity.Channel(counts)
+
+
+def test_op3_spaced_runs_are_read_whole(channel):
+    found = set()
+    reader = toxicity.Reader(np.ones(1 << 18, np.int64), lambda f: found.add(f) or f)
+    reader.channel = channel
+    reader.read(["a " * 70 + "i d i o t", "w o r d", "y o u r e a n i d i o t"])
+    assert "idiot" in found
+    assert "idiot" in channel.spaced("anidiot") and "idiot" in channel.spaced("theriverrunsoverastoneandanoldhouse" * 3 + "idiot")
+
+
 def test_op4(spark, nothing):
     rng = random.Random(8)
     w = ["the", "river", "runs", "over", "stone", "and", "green", "field", "quiet", "evening"]
