@@ -3,7 +3,7 @@
 1. A character trigram model is counted over all texts: tasks send their trigram counts, at most 64**3 of them.
 2. A token that is no plain word becomes a lattice: a letter stands for itself, a digit or sign for the letters it
    may imitate or for nothing, a run of one letter for one or two of it; a run of single-letter tokens is one lattice,
-   read as one word and with word ends inside, whatever its length.  Viterbi decoding finds the likeliest letters under the trigram model.
+   read as one word and with word ends inside, whatever its length, and so are long tokens.  Viterbi decoding finds the likeliest letters under the trigram model.
 3. Words, word beginnings, and beginnings that two or three different words of a text share are counted in toxic and
    other documents of at most ``SAMPLE`` labelled rows (in hash order).  A greedy cover takes those that explain toxic
    documents not yet explained, so words of a group of copies bring nothing once its cause is found.  A document's score is the
@@ -141,10 +141,10 @@ class Channel:
         """The words of a lower-case token."""
         core = EDGES.sub("", token)
         if PLAIN.fullmatch(core) and not RUN.search(core):
-            return (core,)
+            return (core,) if len(core) <= LONG else (core, *self.decoded(core, True).split())
         words = (core,) if PLAIN.fullmatch(core) and not RUN.search(core) else tuple(w for w in re.findall(rf"[{ALPHABET}]+", token) if len(w) > 1)
         bare = core or token
-        if len(bare) <= LONG and any(c in CODE for c in bare):
+        if any(c in CODE for c in bare):
             words += (self.decoded(bare),)
             parts = [x for x in GLUE.split(bare) if x]
             if len(parts) > 1:  # words glued by signs that imitate no letter

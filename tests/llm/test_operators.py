@@ -135,6 +135,11 @@ def test_op3_spaced_runs_are_read_whole(channel):
     assert "idiot" in channel.spaced("anidiot") and "idiot" in channel.spaced("theriverrunsoverastoneandanoldhouse" * 3 + "idiot")
 
 
+def test_op3_long_tokens_are_decoded(channel):
+    assert "idiot" in channel.restore("id" + "i" * 60 + "ot") and {"idiot", "moron"} <= set(channel.restore("the-old-house-of-the-river-runs-over-1d10t.m0r0n"))
+    assert "moron" in channel.restore("runs_over_1d10t_m0r0n") and "idiot" in channel.restore("idi" + "0" * 30_000 + "t")
+
+
 def test_op4(spark, nothing):
     rng = random.Random(8)
     w = ["the", "river", "runs", "over", "stone", "and", "green", "field", "quiet", "evening"]
