@@ -1,7 +1,7 @@
 """Toxicity scores on deobfuscated text (a noisy-channel decoder over character lattices).
 
 1. A character trigram model is counted over all texts: tasks send their trigram counts, at most 64**3 of them.
-2. A token that is no plain word becomes a lattice: a letter stands for itself, a digit or sign for the letters it
+2. A token that is no plain word, or has a doubled letter, becomes a lattice: a letter stands for itself, a digit or sign for the letters it
    may imitate or for nothing, a run of one letter for one or two of it; a run of single-letter tokens is one lattice,
    read as one word and with word ends inside, whatever its length, and so are long tokens.  Viterbi decoding finds the likeliest letters under the trigram model.
 3. Words, word beginnings, and beginnings that two or three different words of a text share are counted in toxic and
@@ -140,7 +140,7 @@ class Channel:
     def restore(self, token: str) -> tuple[str, ...]:
         """The words of a lower-case token."""
         core = EDGES.sub("", token)
-        if PLAIN.fullmatch(core) and not RUN.search(core):
+        if PLAIN.fullmatch(core) and not DOUBLE.search(core):
             return (core,) if len(core) <= LONG else (core, *self.decoded(core, True).split())
         words = (core,) if PLAIN.fullmatch(core) and not RUN.search(core) else tuple(w for w in re.findall(rf"[{ALPHABET}]+", token) if len(w) > 1)
         bare = core or token

@@ -140,6 +140,11 @@ def test_op3_long_tokens_are_decoded(channel):
     assert "moron" in channel.restore("runs_over_1d10t_m0r0n") and "idiot" in channel.restore("idi" + "0" * 30_000 + "t")
 
 
+def test_op3_doubled_letters(channel):
+    for token, word in (("iiddiioott", "idiot"), ("mmoron", "moron"), ("scuum", "scum")):
+        assert {token, word} <= set(channel.restore(token))
+
+
 def test_op4(spark, nothing):
     rng = random.Random(8)
     w = ["the", "river", "runs", "over", "stone", "and", "green", "field", "quiet", "evening"]
