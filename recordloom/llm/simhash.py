@@ -1,36 +1,47 @@
 """SimHash near-duplicates: a binary-trie self-join of the fingerprints within a Hamming budget.
 
 Fingerprints are made in one pass over the texts and stored with the ids; from then on only distinct fingerprints
-are compared.  Seen as a binary trie, the top ``depth`` levels deal the join out: a pair of prefixes that differ in
-at most the budget is one group, and each fingerprint goes to the groups of its prefix (1 + d + d(d-1)/2 + ... of
-them).  Within a group the two subtries are traversed together: a pair of nodes carries the number of differing
-bits so far, its four child pairs are made at once, and those over the budget are dropped.  Small node pairs are
-compared directly.
+are compared.  The bits are cut into one block more than the budget, so two fingerprints within the budget agree in
+a block: each fingerprint goes into one trie per block, rotated so that this block comes first, and there two nodes
+may only differ below the block.  The nodes of the first ``depth`` levels are the groups: each fingerprint is sent
+as often as there are blocks, however many there are.  Within a group a node pair carries the number of differing
+bits so far, its four child pairs are made at once, and those over the budget are dropped; small node pairs are
+compared directly.  A group of more than ``crowd`` fingerprints is not joined in one task: it is first taken
+``STEP`` levels down to the node pairs within the budget, again and again until none is crowded.
 
 A group sends no list of all its links, but a spanning forest of them, so a crowd of near copies gives as many rows
 as it has fingerprints.  Components over those rows come from alternating large-star and small-star rounds, each
 written to the shared folder.
 
-Defined results: null text is empty; a text without words has fingerprint zero and links like any other; repeated
-rows get a row each and the same component; rows with null doc_id are carried and take part, and a component of only
-such rows has a null id; an empty table gives an empty table; other columns are ignored.
+``near_duplicates`` links at a number of differing bits.  ``similar_groups`` links at a Jaccard similarity of the
+shingle sets: a wider sketch has several tables, a pair within the budget in any table and within ``FAR`` bits over
+all is a candidate, a group sends a spanning forest of its candidates of least distance, and each link of that is
+verified by the sets themselves.
+
+Defined results: null text is empty; a text without words has fingerprint zero and links like any other (its set is
+empty and similar to empty sets only); repeated rows get a row each and the same component; rows with null doc_id are
+carried and take part, and a component of only such rows has a null id; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import slices, stored, texts_of
 
 BUDGET = 3
-#: Fingerprints that one prefix should hold at most, if they are spread evenly.
-GROUP = 1 << 14
+#: Fingerprints that a group should hold if they are spread evenly, and above which it is taken further down.
+GROUP, CROWD, STEP = 1 << 13, 1 << 17, 4
 LEAF = 64
+#: The sketch for similarities: tables of ``WIDTH`` bits, and differing bits in all of it that a candidate may have.
+#: At a Jaccard similarity of 0.8 a bit differs with probability 0.15: 39 of 256, standard deviation 6.
+TABLES, WIDTH, FAR = 8, 32, 58
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
@@ -76,6 +87,16 @@ def majority(hashes: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
+def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Other 64-bit hashes of what was hashed, for k = 1, 2, ...; k = 0 gives the hashes themselves."""
+    if not k:
+        return hashes
+    z = hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return z ^ z >> np.uint64(31)
+
+
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """(doc_id, fp long) of every row of ``docs`` (doc_id, text)."""
 
@@ -94,20 +115,32 @@ class Forest:
     def __init__(self, n: int):
         self.up = np.arange(n)
 
-    def roots(self) -> np.ndarray:
+    def find(self, x: np.ndarray) -> np.ndarray:
+        r = self.up[x]
         while True:
-            two = self.up[self.up]
-            if (two == self.up).all():
-                return self.up
-            self.up = two
-
-    def join(self, a: np.ndarray, b: np.ndarray) -> None:
-        while len(a):
-            r = self.roots()
-            x, y = r[a], r[b]
+            two = self.up[r]
+            if (two == r).all():
+                self.up[x] = r
+                return r
+            r = two
+
+    def roots(self) -> np.ndarray:
+        return self.find(np.arange(len(self.up)))
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Join the sets of a[i] and b[i] for every i; returns the i that joined two sets."""
+        at, used = np.arange(len(a)), [np.empty(0, np.int64)]
+        while len(at):
+            x, y = self.find(a[at]), self.find(b[at])
             differ = x != y
-            a, b, x, y = a[differ], b[differ], x[differ], y[differ]
-            np.minimum.at(self.up, np.maximum(x, y), np.minimum(x, y))
+            at, x, y = at[differ], x[differ], y[differ]
+            high, low = np.maximum(x, y), np.minimum(x, y)
+            order = np.lexsort((low, high))
+            roots, first = np.unique(high[order], return_index=True)  # each root goes below one smaller root
+            edge = order[first]
+            self.up[roots] = low[edge]
+            used.append(at[edge])
+        return np.concatenate(used)
 
 
 def _leaf(a, b, alo, ahi, blo, bhi, budget: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -123,10 +156,13 @@ def _leaf(a, b, alo, ahi, blo, bhi, budget: int, same: bool) -> tuple[np.ndarray
     return i[ok], j[ok]
 
 
-def trie_join(a: np.ndarray, b: np.ndarray | None, depth: int = 0, differ: int = 0, budget: int = BUDGET) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_join(
+    a: np.ndarray, b: np.ndarray | None, depth: int = 0, differ: int = 0, budget: int = BUDGET, agree: int = 0, width: int = 64
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of positions of the sorted arrays a and b (None: a with itself) within ``budget`` differing bits.
 
-    All of a share their first ``depth`` bits, so do all of b, and the two prefixes differ in ``differ`` bits.
+    All of a share their first ``depth`` bits, so do all of b, and the two prefixes differ in ``differ`` bits.  Only the
+    first ``width`` bits count.  Pairs that differ in their first ``agree`` bits are not looked for.
     """
     same = b is None
     b = a if same else b
@@ -143,7 +179,7 @@ def trie_join(a: np.ndarray, b: np.ndarray | None, depth: int = 0, differ: int =
     stack = [(depth, one(0), one(len(a)), one(0), one(len(b)), one(differ))]
     while stack:
         d, alo, ahi, blo, bhi, e = stack.pop()
-        small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d == 64)
+        small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d == width)
         for k in range(0, int(small.sum()), 20_000):
             s = np.flatnonzero(small)[k : k + 20_000]
             yield _leaf(a, b, alo[s], ahi[s], blo[s], bhi[s], budget, same)
@@ -161,40 +197,94 @@ def trie_join(a: np.ndarray, b: np.ndarray | None, depth: int = 0, differ: int =
             (am, ahi, blo, bm, e + 1, ~twin),  # of a node with itself this is the same pair as the one before
         ]
         cols = [np.concatenate([k[c] for k in kids]) for c in range(6)]
-        ok = cols[5] & (cols[0] < cols[1]) & (cols[2] < cols[3]) & (cols[4] <= budget)
+        ok = cols[5] & (cols[0] < cols[1]) & (cols[2] < cols[3]) & (cols[4] <= (budget if d >= agree else differ))
         cols = [c[ok] for c in cols[:5]]
         for k in range(0, len(cols[0]), 100_000):
             stack.append((d + 1, *(c[k : k + 100_000] for c in cols)))
 
 
-def links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP) -> DataFrame:
-    """Spanning links (u, v), u > v, between the distinct fingerprints of ``reps`` (fp), group by group."""
-    n = reps.count()
-    depth = max(2, min(20, int(np.ceil(np.log2(max(1, n) / group)))))
-    masks = [m for m in range(1 << depth) if m.bit_count() <= budget]
-    prefix = F.shiftrightunsigned("fp", 64 - depth).cast("int")
-    dealt = reps.select("fp", prefix.alias("p")).select("fp", "p", F.explode(F.array(*[F.lit(m) for m in masks])).alias("m"))
-    other = F.col("p").bitwiseXOR(F.col("m"))
-    dealt = dealt.select("fp", F.least("p", other).alias("lo"), F.greatest("p", other).alias("hi"), (F.col("p") > other).alias("side"))
-
-    def join(key: tuple, table: pa.Table) -> pa.Table:
-        fp = table.column("fp").to_numpy().view(np.uint64)
-        side = table.column("side").to_numpy()
-        lo, hi = key[0].as_py(), key[1].as_py()
-        a, b = np.sort(fp[~side]), np.sort(fp[side])
-        both = np.concatenate([a, b])
-        forest = Forest(len(both))
-        if lo == hi:
-            for i, j in trie_join(a, None, depth, 0, budget):
+def _rotated(bits: Column, by: int, width: int) -> Column:
+    """The low ``width`` bits rotated left, at the top of a long."""
+    turned = F.shiftleft(bits, by).bitwiseOR(F.shiftrightunsigned(bits, width - by)) if by else bits
+    return F.shiftleft(turned, 64 - width) if width < 64 else turned
+
+
+def dealt(reps: DataFrame, tables: list[Column], width: int, budget: int, depth: int) -> DataFrame:
+    """``reps`` once per table and block: t (which), r (rotated bits), and its group at ``depth``: the node lo = hi."""
+    block = width // (budget + 1)
+    each = [F.struct(F.lit(t * (budget + 1) + k).alias("t"), _rotated(bits, k * block, width).alias("r")) for t, bits in enumerate(tables) for k in range(budget + 1)]
+    node = F.shiftrightunsigned("x.r", 64 - depth)
+    return reps.withColumn("x", F.explode(F.array(*each))).select(*reps.columns, "x.t", "x.r", node.alias("lo"), node.alias("hi"), F.lit(False).alias("side"))
+
+
+def taken_down(work: DataFrame, depth: int, budget: int, agree: int) -> DataFrame:
+    """The rows of groups of nodes of ``depth`` dealt to the node pairs ``STEP`` levels further down, within the budget."""
+    masks = [m for m in range(1 << STEP) if m.bit_count() <= budget and not any(m >> (STEP - 1 - i) & 1 and depth + i < agree for i in range(STEP))]
+    bits = F.shiftrightunsigned("r", 64 - depth - STEP).bitwiseAND(F.lit((1 << STEP) - 1))
+    own = F.shiftleft(F.when(F.col("side"), F.col("hi")).otherwise(F.col("lo")), STEP).bitwiseOR(bits)
+    other = F.shiftleft(F.when(F.col("side"), F.col("lo")).otherwise(F.col("hi")), STEP).bitwiseOR(bits.bitwiseXOR(F.col("m")))
+    rest = [c for c in work.columns if c not in ("lo", "hi", "side")]
+    each = work.withColumn("m", F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))).select(*rest, own.alias("own"), other.alias("other"))
+    near = each.where(F.bit_count(F.col("own").bitwiseXOR(F.col("other"))) <= budget)
+    return near.select(*rest, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("side"))
+
+
+def grouped_links(work: DataFrame, depth: int, width: int, budget: int, crowd: int, join: Callable[[int], Callable], out: str) -> DataFrame:
+    """What ``join`` of the depth finds in each group; crowded groups are taken down first."""
+    key, agree, parts = ["t", "lo", "hi"], width // (budget + 1), []
+    while True:
+        crowded = None
+        if depth + STEP < width:
+            crowded = stored(work.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > crowd).select(*key), "crowded")
+            crowded = None if crowded.isEmpty() else crowded
+        few = work.join(crowded, key, "left_anti") if crowded is not None else work
+        parts.append(few.groupBy(*key).applyInArrow(join(depth), out))
+        if crowded is None:
+            break
+        work = stored(taken_down(work.join(crowded, key, "left_semi"), depth, budget, agree), "nodes")
+        depth += STEP
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    return found
+
+
+def _in_group(key: tuple, table: pa.Table, depth: int, width: int, budget: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """(order of the rows, pairs of places in that order) of one group."""
+    r, side = table.column("r").to_numpy().view(np.uint64), table.column("side").to_numpy()
+    lo, hi = key[1].as_py(), key[2].as_py()
+    order = np.lexsort((r, side))
+    n = int((~side).sum())
+    a, b = r[order[:n]], r[order[n:]]
+    agree = width // (budget + 1)
+    if lo == hi:
+        return order, trie_join(a, None, depth, 0, budget, agree, width)
+    found = trie_join(a, b, depth, (lo ^ hi).bit_count(), budget, agree, width)
+    return order, ((i, j + n) for i, j in found)
+
+
+def depth_for(n: int, group: int, block: int) -> int:
+    return max(1, min(block, int(np.ceil(np.log2(max(1, n) / group)))))
+
+
+def links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, crowd: int = CROWD) -> DataFrame:
+    """Spanning links (u, v) between the distinct fingerprints of ``reps`` (fp), group by group."""
+    depth = depth_for(reps.count(), group, 64 // (budget + 1))
+
+    def join(d: int) -> Callable:
+        def run(key: tuple, table: pa.Table) -> pa.Table:
+            order, found = _in_group(key, table, d, 64, budget)
+            fp, forest = table.column("fp").to_numpy()[order], Forest(len(order))
+            for i, j in found:
                 forest.join(i, j)
-        else:
-            for i, j in trie_join(a, b, depth, (lo ^ hi).bit_count(), budget):
-                forest.join(i, j + len(a))
-        root = forest.roots()
-        linked = np.flatnonzero(root != np.arange(len(root)))
-        return pa.table({"u": both[linked].view(np.int64), "v": both[root[linked]].view(np.int64)})
+            root = forest.roots()
+            linked = np.flatnonzero(root != np.arange(len(root)))
+            return pa.table({"u": fp[linked], "v": fp[root[linked]]})
 
-    return dealt.groupBy("lo", "hi").applyInArrow(join, "u long, v long")
+        return run
+
+    rows = dealt(reps.select("fp"), [F.col("fp")], 64, budget, depth)
+    return grouped_links(rows, depth, 64, budget, crowd, join, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -225,5 +315,86 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, size: int = 3) -> Dat
     return marked.join(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
+    """(doc_id, node, w0 .. w3) of every row: a hash of its set of shingles, and its sketch."""
+    words = TABLES * WIDTH // 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest as h
+
+        for batch in batches:
+            for part in slices(batch, chars=1_000_000):
+                hashes, off = shingle_hashes(texts_of(part), size)
+                node = np.array([h(np.unique(hashes[a:b]).tobytes()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], np.uint64)
+                cols = [majority(remixed(hashes, k), off).view(np.int64) for k in range(words)]
+                yield pa.record_batch([part.column(0), pa.array(node.view(np.int64)), *map(pa.array, cols)], names=["doc_id", "node", *(f"w{k}" for k in range(words))])
+
+    out = "doc_id long, node long, " + ", ".join(f"w{k} long" for k in range(words))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, out)
+
+
+def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
+    """(node, shingles): the distinct shingle hashes of each row of ``docs`` (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, chars=1_000_000):
+                hashes, off = shingle_hashes(texts_of(part), size)
+                sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                yield pa.record_batch([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+
+
+def candidate_links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, crowd: int = CROWD, far: int = FAR) -> DataFrame:
+    """(u, v): in each group of each table a spanning forest, of least distance, of the node pairs within the budget and ``far``."""
+    words = [c for c in reps.columns if c != "node"]
+    tables = [F.shiftrightunsigned(w, 64 - WIDTH * (k + 1)).bitwiseAND(F.lit((1 << WIDTH) - 1)) for w in words for k in range(64 // WIDTH)]
+    depth = depth_for(reps.count(), group, WIDTH // (budget + 1))
+
+    def join(d: int) -> Callable:
+        def run(key: tuple, table: pa.Table) -> pa.Table:
+            order, found = _in_group(key, table, d, WIDTH, budget)
+            node, sketch = table.column("node").to_numpy()[order], [table.column(w).to_numpy().view(np.uint64)[order] for w in words]
+            a, b, dist = (np.empty(0, np.int64) for _ in range(3))
+            for i, j in found:
+                n = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in sketch)
+                ok = n <= far
+                if ok.any():  # the forest so far and the new pairs, nearest first
+                    a, b, dist = np.concatenate([a, i[ok]]), np.concatenate([b, j[ok]]), np.concatenate([dist, n[ok]])
+                    forest, keep = Forest(len(order)), []
+                    for level in np.unique(dist):
+                        at = np.flatnonzero(dist == level)
+                        keep.append(at[forest.join(a[at], b[at])])
+                    keep = np.concatenate(keep)
+                    a, b, dist = a[keep], b[keep], dist[keep]
+            return pa.table({"u": node[np.asarray(a, np.int64)], "v": node[np.asarray(b, np.int64)]})
+
+        return run
+
+    rows = dealt(reps, tables, WIDTH, budget, depth)
+    found = grouped_links(rows, depth, WIDTH, budget, crowd, join, "u long, v long")
+    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
+
+
+def similar_groups(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of every row of ``docs`` (doc_id: unique, not null): rows of Jaccard similarity of at least
+    ``share`` of their sets of shingles are linked; the component has the smallest doc_id in it."""
+    marked = stored(sketches(docs, size), "sketches")
+    words = [c for c in marked.columns if c not in ("doc_id", "node")]
+    reps = marked.groupBy("node").agg(F.min(F.struct("doc_id", *words)).alias("x"))
+    reps = stored(reps.select("node", F.col("x.doc_id").alias("first"), *[f"x.{w}" for w in words]), "reps")
+    near = stored(candidate_links(reps.select("node", *words)), "candidates")
+    needed = reps.join(near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("first").alias("doc_id"))
+    sets = stored(shingle_sets(docs.select("doc_id", "text").join(needed, "doc_id"), size), "sets")
+    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
+    both, part = F.size(F.array_intersect("of_u", "of_v")).cast("long"), round(1000 * share)
+    true = near.join(left, "u").join(right, "v").where(both * (1000 + part) >= part * (F.size("of_u") + F.size("of_v"))).select("u", "v")
+    comp = components(true)
+    rooted = reps.join(comp, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.select("doc_id", "node").join(rooted.select("node", "root").join(ids, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
 def with_hex(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

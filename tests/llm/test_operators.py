@@ -321,6 +321,99 @@ def test_op10_trie_join():
     assert got == {(i, j) for i in range(len(a)) for j in range(len(b)) if int(a[i] ^ b[j]).bit_count() <= 3}
 
 
+def test_op10_rotated_tries():
+    """Pairs that agree in a block are found in the trie that starts with it; all blocks together find all pairs."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**32, 30).astype(np.uint64)
+    near = np.array([b ^ np.uint64(sum(1 << int(k) for k in rng.choice(32, rng.integers(0, 6), replace=False))) for b in np.repeat(base, 20)], np.uint64)
+    v, found = np.unique(np.concatenate([base, near])), set()
+    for by in (0, 8, 16, 24):
+        r = (v << np.uint64(by) | v >> np.uint64(32 - by)) << np.uint64(32)
+        order = np.argsort(r)
+        for i, j in simhash.trie_join(r[order], None, 0, 0, 3, 8, 32):
+            found |= {(min(x, y), max(x, y)) for x, y in zip(order[i].tolist(), order[j].tolist(), strict=True)}
+    assert found == {(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if int(v[i] ^ v[j]).bit_count() <= 3}
+
+
+@pytest.mark.parametrize("group,crowd", [(1 << 13, 1 << 17), (8, 12)])
+def test_op10_crowded_prefix(spark, group, crowd):
+    """One crowded prefix, taken down level by level, gives the same components as all pairs."""
+    rng = np.random.default_rng(7)
+    base = np.concatenate([rng.integers(0, 2**40, 60), rng.integers(0, 2**62, 40)]).astype(np.uint64)  # 60 share their first 24 bits
+    near = np.array([b ^ np.uint64(sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 6), replace=False))) for b in np.repeat(base, 4)], np.uint64)
+    v = np.unique(np.concatenate([base, near]))
+    reps = spark.createDataFrame([(int(x),) for x in v.view(np.int64)], "fp long").repartition(4)
+    root = list(range(len(v)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(v)):
+        for j in range(i):
+            if int(v[i] ^ v[j]).bit_count() <= 3:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    want = {}
+    for i, x in enumerate(v.view(np.int64).tolist()):
+        want.setdefault(find(i), set()).add(x)
+    got = {}
+    for r in simhash.components(simhash.links(reps, 3, group, crowd)).collect():
+        got.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+
+def jaccard_groups(texts, size=5, share=0.8):
+    """For each text the smallest place of its component, by all pairs."""
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a == sets[j] or 1000 * both >= 1000 * share * (len(a) + len(sets[j]) - both) and both:
+                p, q = find(i), find(j)
+                root[max(p, q)] = min(p, q)
+    return [find(i) for i in range(len(texts))]
+
+
+def edited(rng, words, most):
+    """A copy with up to ``most`` words replaced, dropped or added."""
+    out = list(words)
+    for _ in range(rng.randrange(most + 1)):
+        k = rng.randrange(len(out))
+        out[k : k + 1] = rng.choice([["neu"], [], [out[k], "zwei"]])
+    return out
+
+
+def test_similar_groups(spark, nothing):
+    """Groups by five words at 0.8 against all pairs: no group too large, and nearly all links found."""
+    rng = random.Random(21)
+    vocab = [f"w{i}" for i in range(400)]
+    texts = [None, "", "one", "One", "one two three", "one two three"]
+    for _ in range(60):
+        base = [rng.choice(vocab) for _ in range(rng.randrange(30, 300))]
+        texts += [" ".join(base), *(" ".join(edited(rng, base, len(base) // 40 + 1)) for _ in range(rng.randrange(4)))]
+    texts += [" ".join(vocab * 40), " ".join([*vocab * 40, "tail"])]  # 16,000 words
+    want = jaccard_groups(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    assert sorted(got) == list(range(len(texts)))
+    assert all(want[i] == want[r] for i, r in got.items())  # nothing unlike is joined
+    linked = [i for i, r in enumerate(want) if i != r]
+    assert len(linked) > 60 and sum(got[i] == want[i] for i in linked) >= 0.95 * len(linked)
+    assert simhash.similar_groups(nothing).count() == 0
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
