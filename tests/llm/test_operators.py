@@ -193,20 +193,69 @@ def test_op5_all_trusted_ids_count(spark):
     assert quality_rules.judge(df, df.select("doc_id")).where("ratio <> 0").count() == 0
 
 
-def test_op6(table, nothing, spark):
-    rows, df = table
-    got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licences.scan(df).collect()}
-    want = set()
+def plain_licences(text):
+    """(base places, found templates with best share and start) by loops over all templates and windows."""
+    w = licences.words_of(text or "")
+    places = [(k, label) for p, label in licences.PHRASES.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
+    entry, found = licences.index(), {}
+    for t, e in enumerate(entry["templates"]):
+        posts = {}
+        for word, own in entry["postings"].items():
+            posts.setdefault(word, []).extend(p for k, p in own if k == t)
+        for o in (0, 1):
+            votes = Counter((i - p + 8 * o) // 16 for i, x in enumerate(w) for p in posts.get(x, []))
+            for b, n in votes.items():
+                if n >= e["need"]:
+                    ok = [s for s in range(16 * b - 8 * o, 16 * b - 8 * o + 16) if s + e["at"] >= 0 and w[s + e["at"] : s + e["at"] + len(e["phrase"])] == e["phrase"]]
+                    if ok:
+                        found.setdefault(e["label"], []).append((-min(1.0, n / e["postings"]), ok[0]))
+    return w, places, {k: min(v) for k, v in found.items()}
+
+
+def check_licences(df, rows):
+    got = sorted((r.doc_id is None, r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9), [(s.label, s.first_word) for s in r.spans]) for r in licences.scan(df).collect())
+    want = []
     for i, t in rows:
-        w = licences.words_of(t or "")
-        at = [(k, label) for p, label in licences.PHRASES.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split()]
-        first = [k for k, _ in at]
-        want.add((i, len(w), len(at), min(first, default=None), max(first, default=None), ",".join(sorted({x for _, x in at}))))
-    assert got == want
-    text = "x " * 40 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
-    found = licences.scan(spark.createDataFrame([(1, text), (2, "hereby free of charge granted permission")], "doc_id long, text string")).orderBy("doc_id").collect()
-    assert found[0].labels == "mit-grant" and found[0].spans[0].first_word == 40 and found[0].score == 1.0 and found[1].labels == ""
-    assert licences.scan(nothing).count() == 0
+        w, places, found = plain_licences(t)
+        first, base = [k for k, _ in places], {x for _, x in places}
+        score = 1.0 if places else max((-s for s, _ in found.values()), default=0.0)
+        order = [e["label"] for e in licences.index()["templates"] if e["label"] in found]
+        want.append((i is None, i, len(w), len(places), min(first, default=None), max(first, default=None), ",".join(sorted(base)), ",".join(sorted(base | set(found))), round(score, 9), [(x, found[x][1]) for x in order]))
+    assert got == sorted(want, key=lambda x: x[:2])
+    return got
+
+
+def test_op6(table, nothing):
+    rows, df = table
+    key = lambda rows: sorted(rows, key=lambda x: (x[0] is None, x[0] or 0))
+    assert len({i for i, _ in rows}) < len(rows)
+    once = key([r for r in rows if r[0] not in (3, None)])
+    check_licences(df.where("doc_id IS NOT NULL AND doc_id <> 3"), once)
+    assert licences.scan(df).count() == len(rows) and licences.scan(nothing).count() == 0
+
+
+def test_op6_planted(spark):
+    """Every wording, whole and damaged, alone and several, in the middle of other words, against loops."""
+    rng = random.Random(14)
+    filler = ["river", "software", "the", "notice", "copyright", "K", "İstanbul", "ſoft", "a", "license", "of", "permission"]
+    texts = []
+    for _ in range(250):
+        out = []
+        for _ in range(rng.randrange(3)):
+            out += [rng.choice(filler) for _ in range(rng.randrange(40))]
+            t = rng.choice(licences.TEMPLATES)[1].split()
+            for _ in range(min(len(t) - 1, rng.choice([0, 0, 1, 3, 12]))):
+                k = rng.randrange(len(t))
+                t[k : k + 1] = rng.choice([[], ["holder"], [t[k], "holder"]])
+            out += t
+        texts.append(" ".join(out + [rng.choice(filler) for _ in range(rng.randrange(10))]))
+    texts += [t for _, t, _ in licences.TEMPLATES] + [" ".join(t for _, t, _ in licences.TEMPLATES), "x " * 200_000 + licences.TEMPLATES[6][1]]
+    rows = list(enumerate(texts))
+    got = check_licences(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+    by = {g[1]: g for g in got}
+    for k, (label, _, _) in enumerate(licences.TEMPLATES):
+        assert label in by[250 + k][7].split(","), label
+    assert by[len(texts) - 1][9][0] == ("mit-grant", 200_000)
 
 
 def test_op7(table, nothing):
