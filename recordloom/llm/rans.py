@@ -1,7 +1,7 @@
 """Token ids in compressed shard files: static range asymmetric numeral coding in interleaved blocks.
 
-Documents are range-partitioned by doc_id; each task writes its run of documents as shard files of at most
-``SHARD_TOKENS`` ids.  A shard has one static frequency table, shared by all its blocks.  A block holds
+Documents are range-partitioned by doc_id, into as many ranges as the input has ``RANGE_BYTES``; each task writes its
+run of documents as shard files of at most ``SHARD_TOKENS`` ids and the slice of documents that reaches them.  A shard has one static frequency table, shared by all its blocks.  A block holds
 ``BLOCK`` ids, dealt in turn to ``LANES`` coders whose words are interleaved in one stream.  The states at a
 block's start are its checkpoint, and with the block index in the footer any block can be read alone; each block
 has a CRC-32 of its bytes and one of its ids, the footer has its own.
@@ -13,8 +13,11 @@ CRC of the footer, u64 place of the footer, ``MAGIC``.
 
 Lanes of all blocks of a shard advance together in numpy, so the coder's inner step is a few array operations.
 
+The manifest (a row a file) is a table in the shared folder; the places of the files' first ids are prefix sums within
+groups of ``RANGES`` tasks and over the groups, so only one row a group meets in one task.
+
 Defined results: null text is empty and has only the end id; rows are in ascending doc_id order, null doc_id
-first, equal doc_id by text; repeated rows are written each; an empty table writes no file and reads back empty;
+first, equal doc_id by the hash of the text; repeated rows are written each; an empty table writes no file and reads back empty;
 other columns are ignored.
 """
 
@@ -27,14 +30,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import partitions, shared_dir, slices, texts_of
+from .shared import input_bytes, partitions, shared_dir, slices, stored, texts_of
 from .words import encoder
 
 MAGIC = b"RLRANS01"
 SCALE, LANES, BLOCK, SHARD_TOKENS = 20, 32, 1 << 16, 1 << 22
+#: Input bytes (as stored, compressed) a task should write; tasks whose files are summed up together.
+RANGE_BYTES, RANGES = 32 << 20, 1024
+#: Folder of files that are being written.
+ATTEMPTS = "_attempts"
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
 SCALE64 = np.uint64(SCALE)
@@ -165,7 +172,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
     """Write ``docs`` (doc_id, text) below ``folder``, a URI; one manifest row per file: file, n_docs, n_tokens, first.
 
     ``first`` is the number of ids in all files before this one.  A file gets its name only when it is whole, so
-    a task that runs twice leaves the same files.
+    a task that runs twice leaves the same files; what attempts leave goes with their own folder at the end.
     """
     spark = docs.sparkSession
 
@@ -178,17 +185,18 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
         doc_ids: list = []
         held: list[np.ndarray] = []
         sizes: list[int] = []
-        made = 0
+        made, total = 0, 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal made
+            nonlocal made, total
             name = f"shard-{task:07d}-{made:05d}.rans"
-            with store.open_output_stream(f"{root}/.{name}.{attempt}") as f:
+            with store.open_output_stream(f"{root}/{ATTEMPTS}/{name}.{attempt}") as f:
                 f.write(shard_bytes(doc_ids, np.array(sizes), np.concatenate(held)))
-            store.move(f"{root}/.{name}.{attempt}", f"{root}/{name}")
-            row = pa.record_batch([pa.array([name]), pa.array([len(doc_ids)], pa.int64()), pa.array([sum(sizes)], pa.int64())], names=["file", "n_docs", "n_tokens"])
+            store.move(f"{root}/{ATTEMPTS}/{name}.{attempt}", f"{root}/{name}")
+            kinds = [("file", pa.string()), ("task", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]
+            row = pa.record_batch([pa.array([x], t) for x, (_, t) in zip((name, task, len(doc_ids), total), kinds, strict=True)], names=[x for x, _ in kinds])
             doc_ids.clear(), held.clear(), sizes.clear()
-            made += 1
+            made, total = made + 1, 0
             return row
 
         for batch in batches:
@@ -198,20 +206,23 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
                     doc_ids.append(x)
                     held.append(np.append(flat[off[i] : off[i + 1]], np.uint32(end_id)).astype(np.uint32))
                     sizes.append(len(held[-1]))
-                if sum(sizes) >= SHARD_TOKENS:
+                    total += sizes[-1]
+                if total >= SHARD_TOKENS:
                     yield flush()
         if doc_ids:
             yield flush()
 
-    _make_folder(folder)
+    _make_folder(f"{folder}/{ATTEMPTS}")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt = source.repartitionByRange(partitions(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    files = sorted(dealt.mapInArrow(write, "file string, n_docs long, n_tokens long").collect())  # one row a file
-    rows, first = [], 0
-    for name, n_docs, n in files:
-        rows.append((name, n_docs, n, first))
-        first += n
-    return spark.createDataFrame(rows, "file string, n_docs long, n_tokens long, first long")
+    ranges = max(partitions(spark), -(-input_bytes(docs) // RANGE_BYTES))
+    dealt = source.repartitionByRange(ranges, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    files = stored(dealt.mapInArrow(write, "file string, task int, n_docs long, n_tokens long"), "manifest")
+    _drop_folder(f"{folder}/{ATTEMPTS}")
+    own = files.withColumn("part", F.floor(F.col("task") / RANGES))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = own.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", before("n", Window.orderBy("part")).alias("base"))
+    within = own.withColumn("own", before("n_tokens", Window.partitionBy("part").orderBy("file")))
+    return within.join(groups, "part").select("file", "n_docs", "n_tokens", (F.col("base") + F.col("own")).alias("first"))
 
 
 def _make_folder(folder: str) -> None:
@@ -221,14 +232,16 @@ def _make_folder(folder: str) -> None:
     store.create_dir(root, recursive=True)
 
 
-def read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, doc_id, place, n_tokens, ids) of every document in the shard files; place counts the ids before it in its file."""
+def _drop_folder(folder: str) -> None:
     from pyarrow import fs
 
-    out = "file string, doc_id long, place long, n_tokens long, ids binary"
     store, root = fs.FileSystem.from_uri(folder)
-    if not any(f.base_name.startswith("shard-") for f in store.get_file_info(fs.FileSelector(root))):
-        return spark.createDataFrame([], out)
+    store.delete_dir(root)
+
+
+def read_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, doc_id, place, n_tokens, ids) of every document in the shard files; place counts the ids before it in its file."""
+    out = "file string, doc_id long, place long, n_tokens long, ids binary"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,6 +35,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that ``df`` reads, as the optimizer knows them (no pass over the data); 0 for what has no files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(n for n in sizes if n < 1 << 60)  # rows made by the driver have no size: the largest long
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The text column as Python strings; null counts as the empty text."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
