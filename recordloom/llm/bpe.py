@@ -20,6 +20,8 @@ id, as the library does by default.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +64,10 @@ def word_table(words: DataFrame, path: str, kind: str) -> DataFrame:
     return words.select("word").mapInArrow(encode, "word string, ids binary")
 
 
+#: This worker process's encoder, by the run that its table belongs to.
+_ENCODER: dict[str, WordEncoder] = {}
+
+
 def _encode(docs: DataFrame, path: str, kind: str, head_words: int):
     """The function that encodes batches of (doc_id, text), with the table of the commonest words of ``docs``."""
     spark = docs.sparkSession
@@ -69,10 +75,14 @@ def _encode(docs: DataFrame, path: str, kind: str, head_words: int):
     least = threshold_for_head(counts, "n", head_words)
     head = word_table(counts.where(F.col("n") >= least), path, kind).toArrow()
     shared = spark.sparkContext.broadcast((head.column(0).combine_chunks(), head.column(1).combine_chunks()))
+    run = uuid.uuid4().hex
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ids = shared.value
-        enc = WordEncoder(path, kind, dict(zip(words.to_pylist(), ids.to_pylist(), strict=True)), most=100_000)
+        enc = _ENCODER.get(run)
+        if enc is None:  # one table a worker process: the one before goes
+            _ENCODER.clear()
+            words, ids = shared.value
+            enc = _ENCODER[run] = WordEncoder(path, kind, dict(zip(words.to_pylist(), ids.to_pylist(), strict=True)), most=100_000)
         for batch in batches:
             for part in slices(batch, chars=1_000_000):
                 flat, off = enc.encode(texts_of(part))
@@ -124,14 +134,22 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """The query's rows: token count and digests of the ids and of the decoded text."""
-    # in one Python worker a task: ids go to the decoder without a second worker's memory
+    """The query's rows: token count and digests of the ids and of the decoded text.
+
+    All of it happens in one Python worker a task, so neither ids nor decoded texts go back to the JVM.
+    """
     encode, decode = _encode(docs, path, "byte", HEAD_WORDS), _decode(path)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array([str(i).encode() for i in range(tokenizer(path).get_vocab_size(with_added_tokens=True))], pa.binary())
+        sha = lambda xs: pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string())
+        for part in decode(encode(batches)):
+            ids = part.column(1)
+            n = pc.fill_null(pc.list_value_length(ids), 0)
+            off = np.concatenate([[0], np.cumsum(n.to_numpy(zero_copy_only=False))]).astype(np.int32)
+            listed = pc.binary_join(pa.ListArray.from_arrays(pa.array(off), names.take(ids.flatten())), b",")
+            cols = [part.column(0), n.cast(pa.int64()), sha(x.as_py() for x in listed), sha(x.as_py().encode() for x in part.column(2))]
+            yield pa.record_batch(cols, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    both = own.mapInArrow(lambda batches: decode(encode(batches)), "doc_id long, ids array<int>, text string")
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    return own.mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
