@@ -7,8 +7,8 @@ smallest ratio of the two score distributions' tails.  Then a small network mini
 risk (Kiryo et al., 2017): prior * positive risk + max(0, unlabelled risk - prior * positive risk as negatives).
 Negative labels are never read.
 
-Defined results: null text is empty and scored like any; repeated rows give repeated rows; null doc_id is carried;
-without positives or unlabelled rows every score is 0.5; an empty table gives an empty table; all columns of the
+Defined results: null text is empty and scored like any; repeated rows give repeated rows, and of several
+texts of an id that with the smallest hash is learnt from; null doc_id is carried; without positives or unlabelled rows every score is 0.5; an empty table gives an empty table; all columns of the
 input are kept, and an input column named like a result column is replaced.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import slices, texts_of
+from .toxicity import one_text
 from .words import END, LETTER, NUMBER, SPACE, class_table, code_points, token_array
 
 SAMPLE = 10_000
@@ -63,7 +64,7 @@ def figures(texts: list[str]) -> np.ndarray:
     distinct = np.bincount(np.unique(doc * many + idx) // many, minlength=len(texts))
     same = np.zeros(len(idx))
     same[1:] = (idx[1:] == idx[:-1]) & (doc[1:] == doc[:-1])
-    pair = np.unique(doc[:-1] * many * many + idx[:-1] * many + idx[1:])[:0] if not len(idx) else np.unique(np.stack([doc[:-1], idx[:-1], idx[1:]])[:, doc[1:] == doc[:-1]], axis=1)[0]
+    pair = np.unique(np.stack([doc[:-1], idx[:-1], idx[1:]])[:, doc[1:] == doc[:-1]], axis=1)[0]
     pairs = np.bincount(pair, minlength=len(texts)) if len(pair) else np.zeros(len(texts))
     last = np.minimum(cps[at + size - 1], 0x1FF) if len(at) else np.empty(0, np.int64)
     head = np.minimum(cps[at], 0x1FF) if len(at) else last
@@ -129,6 +130,31 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, rng: np.random.Generator) -
     return float(np.clip(share.min(), 0.05, 0.98))
 
 
+def logistic_risks(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """(risk of positives, risk of negatives estimated from unlabelled less positives) of outputs, logistic loss."""
+    loss = lambda z: np.log1p(np.exp(np.clip(z, -50, 50))).mean()
+    return prior * loss(-p), loss(u) - prior * loss(p)
+
+
+def logistic_step(p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient at the outputs of the whole risk, or of the negatives' risk turned round while that is below 0."""
+    a, b = _sigmoid(p) / len(p), _sigmoid(u) / len(u)
+    if logistic_risks(p, u, prior)[1] < 0:
+        return np.concatenate([prior * a, -b])
+    return np.concatenate([prior * (a - 1 / len(p)) - prior * a, b])
+
+
+def bounded_risks(p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """The same of the sigmoid loss: sure positives of a batch no longer drown the rest."""
+    return prior * _sigmoid(-p).mean(), _sigmoid(u).mean() - prior * _sigmoid(p).mean()
+
+
+def bounded_step(p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    s, t = _sigmoid(p), _sigmoid(u)
+    dp, du = prior * s * (1 - s) / len(p), t * (1 - t) / len(u)
+    return np.concatenate([dp, -du]) if bounded_risks(p, u, prior)[1] < 0 else np.concatenate([-2 * dp, du])
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None:
     """The model, from trusted positives and unlabelled rows; None if either is missing."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -144,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
                 rows = pa.array(list(figures(texts_of(part))), pa.list_(pa.float64()))
                 yield pa.record_batch([part.column(0), part.column(2), part.column(3), rows], names=["doc_id", "p", "u", "x"])
 
-    got = own.join(F.broadcast(marks), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "p", "u").mapInArrow(run, "doc_id long, p int, u int, x array<double>")
+    got = one_text(own.join(F.broadcast(marks), "doc_id"), "p", "u").mapInArrow(run, "doc_id long, p int, u int, x array<double>")
     rows = sorted(got.collect(), key=lambda r: r.doc_id)
     pos, unl = np.array([r.x for r in rows if r.p]), np.array([r.x for r in rows if r.u])
     if len(pos) < 2 or len(unl) < 2:
@@ -155,20 +181,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
     pos, unl = rng.permutation(scale(pos)), rng.permutation(scale(unl))
     prior = estimate_prior(pos, unl, rng)
 
-    def logistic(p: np.ndarray, u: np.ndarray) -> np.ndarray:
-        as_negative = np.log1p(np.exp(np.clip(u, -50, 50))).mean() - prior * np.log1p(np.exp(np.clip(p, -50, 50))).mean()
-        if as_negative < 0:  # step back until the risk is no longer negative
-            return np.concatenate([prior * _sigmoid(p) / len(p), -_sigmoid(u) / len(u)])
-        return np.concatenate([prior * (_sigmoid(p) - 1) / len(p) - prior * _sigmoid(p) / len(p), _sigmoid(u) / len(u)])
-
-    def bounded(p: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """The same risk with the sigmoid loss: sure positives of a batch no longer drown the rest."""
-        s, t = _sigmoid(p), _sigmoid(u)
-        dp, du = prior * s * (1 - s) / len(p), t * (1 - t) / len(u)
-        return np.concatenate([dp, -du]) if t.mean() < prior * s.mean() else np.concatenate([-2 * dp, du])
-
-    net = _train(pos, unl, logistic, rng, 1500)
-    net = _train(pos, unl, bounded, rng, 1500, net)
+    net = _train(pos, unl, lambda p, u: logistic_step(p, u, prior), rng, 1500)
+    net = _train(pos, unl, lambda p, u: bounded_step(p, u, prior), rng, 1500, net)
     return {"mean": mean, "dev": dev, "w": net.w, "prior": prior}
 
 

@@ -10,7 +10,8 @@
    logistic of the prior log odds (of texts without an entry) and of what its distinct entries add to them.
 
 Defined results: null text is empty; an empty text scores the prior of texts without an entry; repeated rows give
-repeated rows; null doc_id is carried (and is in no labelled row); without labelled rows of both kinds every score is 0;
+repeated rows, and of several texts of a labelled id that with the smallest hash is learnt from; an id with several
+labels counts with the largest; null doc_id is carried (and is in no labelled row); without labelled rows of both kinds every score is 0;
 an empty table gives an empty table; all columns of the input are kept, and an input column named like a
 result column is replaced.
 """
@@ -238,13 +239,19 @@ def training_ids(labels: DataFrame, column: str, most: int) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
 
+def one_text(docs: DataFrame, *marks: str) -> DataFrame:
+    """One row per doc_id: of several texts that with the smallest hash, so every run learns from the same."""
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")
+    return docs.groupBy("doc_id").agg(least, *[F.max(m).alias(m) for m in marks]).select("doc_id", "x.text", *marks)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """The model: trigram counts, lexicon with weights, prior."""
     counts = np.zeros(1 << 18, np.int64)
     for r in trigram_counts(docs).collect():  # at most 64**3 rows
         counts[r.g] = r.n
     ids = training_ids(labels, "toxic", sample)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    own = one_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id"), "y")
     own = stored(own.select("doc_id", "text", "y"), "sample")
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

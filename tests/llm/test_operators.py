@@ -52,6 +52,8 @@ def test_op1(spark):
             want += [(q, k, i, -t) for k, (t, i) in enumerate(s, 1)]
     assert got == sorted(want)
     assert topk.search(df.where("false"), df.vec_id % 50 == 0).count() == 0
+    clash = df.selectExpr("*", "'z' AS query_id", "'z' AS score", "'z' AS v", "1 AS rank", "2 AS q", "3 AS bucket", "4 AS n")
+    assert sorted(tuple(r) for r in topk.search(clash, clash.vec_id % 50 == 0, 5, block=2).select("query_id", "rank", "vec_id", "score").collect()) == got
 
 
 def test_op2(table, nothing):
@@ -140,6 +142,46 @@ def test_op3_long_tokens_are_decoded(channel):
     assert "moron" in channel.restore("runs_over_1d10t_m0r0n") and "idiot" in channel.restore("idi" + "0" * 30_000 + "t")
 
 
+def test_op3_decoder_against_all_paths(channel):
+    """Viterbi decoding finds a path of the lattice with the best score of all."""
+    import itertools
+
+    def worth(letters, cost):
+        a = b = 0
+        s = -cost
+        for c in letters:
+            s += channel.log[a, b, toxicity.CODE[c]]
+            a, b = b, toxicity.CODE[c]
+        return s + channel.log[a, b, 0]
+
+    rng = random.Random(17)
+    for _ in range(150):
+        token = "".join(rng.choice("idot013$@!*mnrscu--") * rng.choice([1, 1, 1, 2, 3]) for _ in range(rng.randrange(1, 7)))
+        paths = [("".join(x for x, _ in p), sum(c for _, c in p)) for p in itertools.product(*channel.lattice(token))]
+        best, got = max(worth(*p) for p in paths), channel.decode(token)
+        assert any(letters == got and abs(worth(letters, cost) - best) < 1e-9 for letters, cost in paths), token
+
+
+@pytest.mark.parametrize("size", [39, 41, 61, 5000])
+def test_op3_any_length(channel, size):
+    """Neither a token's nor a spaced run's length keeps a word from being read."""
+    river = ("the-old-river-runs-over-a-stone-" * 200)[: size - 6].rstrip("-") + "-"
+    assert "idiot" in channel.restore(river + "1d10t")
+    assert "idiot" in channel.spaced("theriverrunsoverastoneandanoldhouse" * (size // 35 + 1) + "idiot")
+
+
+def test_op3_score_by_hand(spark):
+    """A score is the logistic of the prior and of what the distinct entries of the text add to it."""
+    counts = np.ones(1 << 18, np.int64)
+    model = {"counts": counts, "prior": -2.0, "lexicon": {"blockhead": 3.0, "^grum": 1.5, "2^grum": 0.25, "2~^grum": 0.125}}
+    texts = {1: "a river", 2: "blockhead blockhead", 3: "grumpy river", 4: "grumpy grumble", 5: "grumpy grumble blockhead", 6: "grumpy " + "river " * 500 + "grumble", 7: None}
+    add = {1: 0, 2: 3, 3: 1.5, 4: 1.875, 5: 4.875, 6: 1.75, 7: 0}
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()}
+    for i, x in add.items():
+        want = 1 / (1 + np.exp(2.0 - x))
+        assert abs(got[i].score - want) < 1e-9 and got[i].predicted == int(want >= 0.5)
+
+
 def test_op3_doubled_letters(channel):
     for token, word in (("iiddiioott", "idiot"), ("mmoron", "moron"), ("scuum", "scum")):
         assert {token, word} <= set(channel.restore(token))
@@ -162,6 +204,64 @@ def test_op4(spark, nothing):
     assert quality.score(nothing, quality.fit(nothing, lab)).count() == 0
 
 
+@pytest.mark.parametrize("risks,step", [(quality.logistic_risks, quality.logistic_step), (quality.bounded_risks, quality.bounded_step)])
+def test_op4_gradients(risks, step):
+    """The steps against differences of the risks, on both sides of 0."""
+    rng, signs = np.random.default_rng(3), set()
+    for prior in (0.3, 0.9):
+        for shift in (-2.0, 0.0, 2.0):
+            p, u = rng.normal(1, 1, 7), rng.normal(shift, 1, 9)
+            below = risks(p, u, prior)[1] < 0
+            signs.add(bool(below))
+            goal = lambda z: -risks(z[:7], z[7:], prior)[1] if below else sum(risks(z[:7], z[7:], prior))  # noqa: B023, E731
+            z = np.concatenate([p, u])
+            want = [(goal(z + h) - goal(z - h)) / 2e-6 for h in np.eye(16) * 1e-6]
+            assert np.allclose(step(p, u, prior), want, atol=1e-7)
+    assert signs == {True, False}
+
+
+def test_op4_scores_by_a_loop(table):
+    """Scores of whole texts against figures and network one text at a time."""
+    rows, df = table
+    rng = np.random.default_rng(0)
+    net = quality.Net(quality.FIGURES, 5, rng)
+    model = {"mean": rng.normal(size=quality.FIGURES), "dev": np.full(quality.FIGURES, 2.0), "w": net.w, "prior": 0.5}
+    got = Counter((r.doc_id, round(r.score, 9), r.predicted) for r in quality.score(df, model).collect())
+    want = Counter()
+    for i, t in rows:
+        x = np.clip((quality.figures([t or ""])[0] - model["mean"]) / 2.0, -6, 6)
+        h = [np.tanh(sum(x[a] * net.w[0][a, b] for a in range(len(x))) + net.w[1][b]) for b in range(5)]
+        z = 1 / (1 + np.exp(-(sum(a * b for a, b in zip(h, net.w[2], strict=True)) + net.w[3][0])))
+        want[i, round(z, 9), int(z >= 0.3)] += 1
+    assert got == want
+
+
+def test_op4_figures():
+    """Some figures by plain counting."""
+    for t in ("", "one", "a b a b a", "Hello, World! ## 12\nHello, World!", "x " * 50, "é漢 🙂"):
+        f, w = quality.figures([t, "other text"])[0], t.split()
+        n = max(1, len(t))
+        assert np.isclose(f[0], np.log1p(n)) and np.isclose(f[1], np.log1p(len(w)))
+        assert np.isclose(f[2], max(1, sum(c.isalpha() for c in t)) / n) and np.isclose(f[6], sum(c in quality.SYMBOLS for c in t) / n)
+        assert np.isclose(f[11], sum(map(len, w)) / max(1, len(w))) and np.isclose(f[13], len(set(w)) / max(1, len(w)))
+        assert np.isclose(f[14], sum(a == b for a, b in zip(w, w[1:], strict=False)) / max(1, len(w)))
+        assert np.isclose(f[15], len(set(zip(w, w[1:], strict=False))) / max(1, len(w) - 1))
+
+
+def test_op4_model_does_not_depend_on_order(spark):
+    """A labelled id with two texts, nulls and repeats among the labels: any order of the rows gives the same model."""
+    rng = random.Random(12)
+    rows = [(i % 150, " ".join(rng.choice(["the", "river", "runs", "%%", "stone."]) for _ in range(rng.randrange(3, 30)))) for i in range(300)]
+    labels = [(i, rng.randrange(2), rng.randrange(2)) for i in range(150)] + [(3, 1, 1), (3, 0, 0), (None, 1, 1), (5, None, None), (5, 1, 1)]
+    weights = []
+    for k in range(2):
+        rng.shuffle(rows), rng.shuffle(labels)
+        df, lab = spark.createDataFrame(rows, "doc_id long, text string").repartition(2 + k), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        m, t = quality.fit(df, lab), toxicity.fit(df, lab)
+        weights.append([x.tolist() for x in m["w"]] + [t["lexicon"], t["prior"]])
+    assert weights[0] == weights[1]
+
+
 def test_op5(table, nothing, spark):
     rows, df = table
     got = {(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in quality_rules.judge(df, df.select("doc_id")).collect()}
@@ -178,6 +278,47 @@ def test_op5(table, nothing, spark):
     assert quality_rules.judge(nothing, nothing.select("doc_id")).count() == 0
 
 
+def test_op5_ratio_and_verdict(table, spark):
+    """ratio and kept by loops over words, pairs and folds."""
+    rows, df = table
+    trusted = [i for i, _ in rows if i is not None and i % 3]
+    h = lambda *xs: _spark_hash(*xs)
+    B, folds = quality_rules.BUCKETS, quality_rules.FOLDS
+
+    def grams(t):
+        w = [h(x.encode()) for x in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
+        return [x % B for x in w] + [h(a, b) % B for a, b in zip(w, w[1:], strict=False)]
+
+    fold = lambda i: 0 if i is None else h(i, b"fold") % folds
+    raw, good = [Counter() for _ in range(folds)], [Counter() for _ in range(folds)]
+    for i, t in rows:
+        for f in range(folds):
+            if f != fold(i):
+                raw[f].update(grams(t))
+                if i in trusted:
+                    good[f].update(grams(t))
+    want = Counter()
+    for i, t in rows:
+        f, g = fold(i), grams(t)
+        share = sum(good[f].values()) / max(1, sum(raw[f].values()))
+        # an n-gram that no other document has is in no bucket
+        seen = raw[0] | raw[1] if folds == 2 else None
+        each = [round(float(np.log((good[f][x] + quality_rules.PSEUDO) / (raw[f][x] * share + quality_rules.PSEUDO))), 4) if x in seen else 0.0 for x in g]
+        want[i, round(sum(each) / len(each), 6) if each else 0.0] += 1
+    found = quality_rules.judge(df, spark.createDataFrame([(i,) for i in trusted], "doc_id long")).collect()
+    assert Counter((r.doc_id, round(r.ratio, 6)) for r in found) == want
+    assert all(r.kept == (not r.base_failed and r.ratio >= quality_rules.THRESHOLD) for r in found)
+
+
+def _spark_hash(*values):
+    """xxhash64 of columns: the hash of each seeds the next; longs as eight little-endian bytes."""
+    seed = 42
+    for v in values:
+        data = v if isinstance(v, bytes) else (v & (1 << 64) - 1).to_bytes(8, "little")
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
 def test_op5_good_text_outside_the_trusted(spark):
     """Of documents of one kind, mostly of words of their own, all are kept and not only the trusted ones."""
     rng = random.Random(3)
