@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Legal forms, name rewrites, address rewrites.
-LEGAL_TOKENS = (
-    "pvt private ltd limited llc llp lp inc incorporated corp corporation co company plc pllc pc gmbh ag sarl sas sasu sa eurl sci snc the dba "
-    "opc pty bv nv srl spa cie"
-).split()
+LEGAL_TOKENS = [
+    "pvt", "private", "ltd", "limited", "llc", "llp", "lp", "inc", "incorporated", "corp", "corporation", "co", "company", "plc", "pllc", "pc", "gmbh",
+    "ag", "sarl", "sas", "sasu", "sa", "eurl", "sci", "snc", "the", "dba", "opc", "pty", "bv", "nv", "srl", "spa", "cie",
+]
 NAME_MAP = {
     "&": "and", "intl": "international", "mfg": "manufacturing", "svcs": "services", "svc": "services", "ent": "enterprises", "bros": "brothers",
     "assoc": "associates", "tech": "technologies", "techs": "technologies", "sys": "systems", "mgmt": "management", "dept": "department",
@@ -28,14 +28,15 @@ ADDR_MAP = {
 
 
 @lru_cache(None)
-def accent_table() -> tuple[str, str, dict[str, str]]:
-    """(characters, their bases, characters with several bases) of compatibility decomposition without marks.
+def accent_table() -> tuple[str, str, dict[str, str], str]:
+    """(characters, their bases, characters with several bases, a pattern of those) of compatibility decomposition without marks.
 
-    Characters without a base come last in the first string: translate() removes them.
+    Characters without a base come last in the first string: translate() removes them.  Hangul syllables are in the
+    pattern only: their parts follow from their number.
     """
     one, base, gone, many = [], [], [], {}
-    for c in range(0x80, 0x10000):
-        if 0xD800 <= c < 0xE000:
+    for c in range(0x80, 0x30000):
+        if 0xD800 <= c < 0xE000 or 0xAC00 <= c < 0xD7A4:
             continue
         ch = chr(c)
         plain = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
@@ -46,18 +47,32 @@ def accent_table() -> tuple[str, str, dict[str, str]]:
         elif len(plain) == 1:
             one.append(ch)
             base.append(plain)
-        elif c < 0x250 or 0x2150 <= c < 0x2190 or 0xFB00 <= c < 0xFB07:
+        else:
             many[ch] = plain
-    return "".join(one + gone), "".join(base), many
+    starts = [c for c in many if chr(ord(c) - 1) not in many]
+    ranges = [(c, next(chr(x) for x in range(ord(c), 0x30001) if chr(x + 1) not in many)) for c in starts]
+    return "".join(one + gone), "".join(base), many, "[\uac00-\ud7a3" + "".join(f"{a}-{b}" for a, b in ranges) + "]"
+
+
+def _jamo(ch: Column) -> Column:
+    """The parts of a Hangul syllable, by arithmetic on its number; any other character as it is."""
+    row = lambda first, n, skip: F.array(*[F.lit("" if skip and not k else chr(first + k)) for k in range(n)])
+    k = F.ascii(ch) - 0xAC00
+    at = lambda xs, x: F.get(xs, x.cast("int"))
+    parts = F.concat(at(row(0x1100, 19, False), F.floor(k / 588)), at(row(0x1161, 21, False), F.floor(k % 588 / 28)), at(row(0x11A7, 28, True), k % 28))
+    return F.when((ch >= "\uac00") & (ch <= "\ud7a3"), parts).otherwise(ch)
 
 
 def strip_accents(c: Column) -> Column:
-    """Without accents; ligatures, fractions and Roman numerals are spelt out."""
-    src, dst, many = accent_table()
+    """Compatibility decomposition without marks.
+
+    Characters with one base are translated; only texts with a character of several bases are taken apart.
+    """
+    src, dst, many, pattern = accent_table()
     out = F.translate(c, src, dst)
-    for ch, plain in many.items():
-        out = F.replace(out, F.lit(ch), F.lit(plain))
-    return out
+    spelt = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in many.items())), F.lit("\x01"), F.lit("\x02"))
+    each = F.transform(F.regexp_extract_all(out, F.lit("(?s)."), F.lit(0)), lambda ch: F.coalesce(F.try_element_at(spelt, ch), _jamo(ch)))
+    return F.when(c.rlike(pattern), F.array_join(each, "")).otherwise(out)
 
 
 def basic_clean(c: Column) -> Column:
@@ -108,6 +123,6 @@ def normalised(records: DataFrame) -> DataFrame:
             "full_n": F.concat("name_core", F.lit(" | "), "addr_n"),
             "postal": postal_codes(raw),
             "nums": numbers(raw),
-            "country_n": F.lower(F.trim(F.coalesce("country", F.lit("")))),
+            "country_n": basic_clean(F.col("country")),
         }
     ).withColumn("postal1", F.coalesce(F.array_min(F.transform("postal", lambda x: x.cast("int"))), F.lit(0)))

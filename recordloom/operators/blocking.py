@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.functions.text import tokens
+from recordloom.operators import vectors
 
 MAX_BLOCK, MAX_CANDS, EXACT_BLOCK = 20_000, 80, 50
 
@@ -24,14 +28,14 @@ def rare_tokens(norm: DataFrame, column: str, most: int) -> DataFrame:
     return ranked.where(F.col("rank") <= most).select("entity_id", "country_n", "tok", "df", "rank")
 
 
-def blocking_keys(norm: DataFrame) -> DataFrame:
+def blocking_keys(norm: DataFrame, name_tokens: int = 3, addr_tokens: int = 2) -> DataFrame:
     """(entity_id, country_n, scheme, key) of the four schemes; blank keys are left out."""
     core = F.replace("name_core", F.lit(" "), F.lit(""))
     base = norm.select("entity_id", "country_n", core.alias("core"), "postal1")
     pfx = base.select("entity_id", "country_n", F.lit("pfx5").alias("scheme"), F.left("core", F.lit(5)).alias("key"))
     postal = base.where("postal1 > 0").select("entity_id", "country_n", F.lit("postal").alias("scheme"), F.concat_ws("|", F.col("postal1").cast("string"), F.left("core", F.lit(1))).alias("key"))
-    name = rare_tokens(norm, "name_core", 3).select("entity_id", "country_n", F.lit("nametok").alias("scheme"), F.concat(F.lit("n:"), "tok").alias("key"))
-    addr = rare_tokens(norm, "addr_n", 2).select("entity_id", "country_n", F.lit("addrtok").alias("scheme"), F.concat(F.lit("a:"), "tok").alias("key"))
+    name = rare_tokens(norm, "name_core", name_tokens).select("entity_id", "country_n", F.lit("nametok").alias("scheme"), F.concat(F.lit("n:"), "tok").alias("key"))
+    addr = rare_tokens(norm, "addr_n", addr_tokens).select("entity_id", "country_n", F.lit("addrtok").alias("scheme"), F.concat(F.lit("a:"), "tok").alias("key"))
     return pfx.unionByName(postal).unionByName(name).unionByName(addr).where("key <> ''")
 
 
@@ -75,6 +79,50 @@ def capped(pairs: DataFrame, score: Column, most: int = MAX_CANDS) -> DataFrame:
     return pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most).drop("rn")
 
 
+def cosine_pairs(pairs: DataFrame, norm: DataFrame, store: Callable[[DataFrame], DataFrame], max_df: float = vectors.MAX_DF, min_df: int = vectors.MIN_DF) -> DataFrame:
+    """``pairs`` with the cosines of all views; ``store`` writes each view's postings once."""
+    for view in vectors.VIEWS:
+        pairs = store(vectors.cosines(pairs, store(vectors.postings(norm, view, max_df, min_df)), view))
+    return pairs
+
+
+def proposed(key_pairs: DataFrame, cosines: DataFrame, k: tuple[int, int, int]) -> DataFrame:
+    """(s1_id, cand_id): pairs that are among the k best of their entity in a block by a view, for any block and view."""
+    block = Window.partitionBy("s1_id", "scheme", "key")
+    place = lambda v: F.row_number().over(block.orderBy(F.col(v).desc(), "cand_id"))
+    both = key_pairs.select("s1_id", "cand_id", "scheme", "key").join(cosines.select("s1_id", "cand_id", *vectors.VIEWS), ["s1_id", "cand_id"])
+    best = both.select("*", *[place(v).alias(f"at_{v}") for v in vectors.VIEWS])
+    some = F.lit(False)
+    for v, n in zip(vectors.VIEWS, k, strict=True):
+        some = some | ((F.col(f"at_{v}") <= n) & (F.col(v) > 0))
+    return best.where(some).select("s1_id", "cand_id").distinct()
+
+
+def generate(
+    norm: DataFrame,
+    store: Callable[[DataFrame], DataFrame],
+    k: tuple[int, int, int] = tuple(v[4] for v in vectors.VIEWS.values()),
+    max_block: int = MAX_BLOCK,
+    most: int = MAX_CANDS,
+    name_tokens: int = 3,
+    addr_tokens: int = 2,
+    max_df: float = vectors.MAX_DF,
+    min_df: int = vectors.MIN_DF,
+    by_country: bool = True,
+) -> DataFrame:
+    """Candidates with their three cosines: keys, the best of each block by each view, all cosines, the cap per entity.
+
+    Entities of a country without records search everywhere; without ``by_country`` all do.  Cosines are made once, for
+    every pair that shares a key; blocks over ``max_block`` records are left out.
+    """
+    norm = norm if by_country else norm.withColumn("country_n", F.lit(""))
+    keys = store(with_fallback(blocking_keys(norm, name_tokens, addr_tokens)))
+    found = store(key_pairs(keys, max_block))
+    cos = cosine_pairs(found.select("s1_id", "cand_id").distinct(), norm, store, max_df, min_df)
+    kept = cos.join(proposed(found, cos, k), ["s1_id", "cand_id"], "left_semi")
+    return capped(kept, F.col("cos_full") + F.col("cos_addr"), most)
+
+
 def exact_key_pairs(norm: DataFrame, most: int = EXACT_BLOCK) -> DataFrame:
     """(s1_id, cand_id): equal core name with equal smallest postal code or equal address; crowded keys dropped."""
     first = F.coalesce(F.array_min("postal"), F.lit(""))
@@ -88,15 +136,25 @@ def exact_key_pairs(norm: DataFrame, most: int = EXACT_BLOCK) -> DataFrame:
 
 
 def similar_pairs(norm: DataFrame, share: float = 0.7) -> DataFrame:
-    """(s1_id, cand_id): same country and word-set Jaccard of at least ``share``, by exact prefix filtering."""
-    each = norm.select("entity_id", "country_n", F.array_distinct(tokens(F.concat_ws(" ", "name_n", "addr_n"))).alias("toks")).where(F.size("toks") > 0)
-    sets = each.select("entity_id", "country_n", F.size("toks").alias("n"), "toks")
-    df = sets.select("country_n", F.explode("toks").alias("tok")).groupBy("country_n", "tok").agg(F.count("*").alias("df"))
-    w = Window.partitionBy("entity_id").orderBy("df", "tok")
-    order = sets.select("entity_id", "country_n", "n", F.explode("toks").alias("tok")).join(df, ["country_n", "tok"]).withColumn("r", F.row_number().over(w))
-    prefix = order.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * share) + 1).select("entity_id", "country_n", "tok")
-    left, right = prefix.where(is_s1()).withColumnRenamed("entity_id", "s1_id"), prefix.where(~is_s1()).withColumnRenamed("entity_id", "cand_id")
-    pairs = left.join(right, ["country_n", "tok"]).select("s1_id", "cand_id").distinct()
+    """(s1_id, cand_id): same country and word-set Jaccard of at least ``share``; records without words have no pairs.
+
+    Candidates share one of their rarest words (prefix filter), are alike in length (bands of a width of ``share`` in
+    the join key, then the exact bound), and could still have enough words in common after that word (position
+    filter).  Words are compared by hash until the sets themselves decide.
+    """
+    sets = norm.select("entity_id", "country_n", F.array_distinct(tokens(F.concat_ws(" ", "name_n", "addr_n"))).alias("toks")).where(F.size("toks") > 0)
+    each = sets.select("entity_id", "country_n", F.size("toks").alias("n"), F.explode(F.array_distinct(F.transform("toks", lambda t: F.xxhash64(t)))).alias("h"))
+    df = each.groupBy("country_n", "h").agg(F.count("*").alias("df"))
+    w = Window.partitionBy("entity_id").orderBy("df", "h")
+    ranked = each.join(df, ["country_n", "h"]).withColumn("r", F.row_number().over(w)).where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * share) + 1)
+    band = F.floor(F.log("n") / math.log(1 / share)).cast("int")
+    prefix = ranked.select("entity_id", "country_n", "h", "n", "r", band.alias("band"))
+    left = prefix.where(is_s1()).select(F.col("entity_id").alias("s1_id"), "country_n", "h", F.col("n").alias("n1"), F.col("r").alias("r1"), F.explode(F.array(*[F.col("band") + d for d in (-1, 0, 1)])).alias("band"))
+    right = prefix.where(~is_s1()).select(F.col("entity_id").alias("cand_id"), "country_n", "h", F.col("n").alias("n2"), F.col("r").alias("r2"), "band")
+    near = left.join(right, ["country_n", "h", "band"]).where((F.col("n2") >= share * F.col("n1")) & (F.col("n1") >= share * F.col("n2")))
+    needed = share / (1 + share) * (F.col("n1") + F.col("n2")) - 1e-6
+    near = near.where(1 + F.least(F.col("n1") - F.col("r1"), F.col("n2") - F.col("r2")) >= needed)
+    pairs = near.select("s1_id", "cand_id").distinct()
     a, b = sets.select(F.col("entity_id").alias("s1_id"), F.col("toks").alias("x")), sets.select(F.col("entity_id").alias("cand_id"), F.col("toks").alias("y"))
     both = pairs.join(a, "s1_id").join(b, "cand_id")
     return both.where(F.size(F.array_intersect("x", "y")) >= share * F.size(F.array_union("x", "y"))).select("s1_id", "cand_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,24 +72,53 @@ def exact_augmented(kept: DataFrame, exact: DataFrame) -> DataFrame:
     return kept.select("s1_id", "cand_id").unionByName(won)
 
 
-def learn_k_rows(pairs: DataFrame, truth: DataFrame, most: int = 12) -> DataFrame:
-    """One row per entity and k = 0 .. min(n, most) with features of its k best and the F0.5 they would score."""
+def ratio6(num: Column, den: Column) -> Column:
+    """num / den of whole numbers, den > 0, rounded half up at six digits by whole-number arithmetic alone."""
+    return F.call_function("div", num.cast("long") * 2_000_000 + den.cast("long"), 2 * den.cast("long")) / 1e6
+
+
+K_FEATURES = ["k", "n_cands", "k_frac", "cum_p", "p_k", "p1", "gap_1k", "mean_top_k", "sum_p", "p_empty", "exp_f05", "n_above_50", "n_above_80"]
+K_MAX = 12
+
+
+def learn_k_rows(pairs: DataFrame, truth: DataFrame | None, most: int = K_MAX) -> DataFrame:
+    """One row per entity and k = 0 .. min(n, most): thirteen features of its k best and, with ``truth``, the F0.5 they would score.
+
+    Scores count in millionths, so sums and quotients are exact.
+    """
     whole = Window.partitionBy("s1_id")
-    order = whole.orderBy(F.col("p").desc(), "cand_id")
-    hit = pairs.join(truth.withColumn("y", F.lit(1)), ["s1_id", "cand_id"], "left").withColumn("y", F.coalesce("y", F.lit(0)))
-    x = hit.withColumns({"k": F.row_number().over(order), "n": F.count("*").over(whole), "sum_p": F.sum("p").over(whole), "p1": F.max("p").over(whole), "p_empty": F.exp(F.sum(F.log1p(-F.least("p", F.lit(1 - 1e-12)))).over(whole))})
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumns({"cum_p": F.sum("p").over(run), "tp": F.sum("y").over(run)}).where(F.col("k") <= most)
-    zero = x.where("k = 1").select("s1_id", F.lit(0).alias("k"), "n", "sum_p", "p1", "p_empty", F.lit(0.0).alias("cum_p"), F.lit(0).cast("long").alias("tp"), F.lit(0.0).alias("p"))
-    rows = x.select("s1_id", "k", "n", "sum_p", "p1", "p_empty", "cum_p", "tp", "p").unionByName(zero)
-    nt = truth.groupBy("s1_id").agg(F.count("*").alias("nt"))
-    rows = rows.join(nt, "s1_id", "left").withColumn("nt", F.coalesce("nt", F.lit(0)))
-    k = F.col("k")
-    real = F.when((F.col("nt") == 0) & (k == 0), 1.0).when((k == 0) | (F.col("nt") == 0), 0.0).otherwise(1.25 * F.col("tp") / (0.25 * F.col("nt") + k))
-    safe = F.when(k == 0, 1).otherwise(k)
-    r = lambda c: F.round(c, 6)
-    return rows.select(
-        "s1_id", k.cast("long").alias("k"), F.col("n").alias("n_cands"), r(k / F.col("n")).alias("k_frac"), r(F.col("cum_p")).alias("cum_p"), r(F.col("p")).alias("p_k"), r(F.col("p1")).alias("p1"),
-        r(F.col("p1") - F.col("p")).alias("gap_1k"), r(F.col("cum_p") / safe).alias("mean_top_k"), r(F.col("sum_p")).alias("sum_p"), r(F.col("p_empty")).alias("p_empty"),
-        r(F.when(k == 0, F.col("p_empty")).otherwise(1.25 * F.col("cum_p") / (0.25 * F.col("sum_p") + safe))).alias("exp_f05"), r(real).alias("target"),
+    order = whole.orderBy(F.col("m").desc(), "cand_id")
+    marks = pairs.withColumn("y", F.lit(0)) if truth is None else pairs.join(truth.select("s1_id", "cand_id").withColumn("y", F.lit(1)), ["s1_id", "cand_id"], "left").na.fill(0, ["y"])
+    hit = marks.withColumn("m", F.round(F.col("p") * 1e6).cast("long"))
+    empty = F.exp(F.sum(F.log1p(-F.least("p", F.lit(1 - 1e-12)))).over(whole))
+    x = hit.withColumns(
+        {
+            "k": F.row_number().over(order), "n": F.count("*").over(whole), "all": F.sum("m").over(whole), "best": F.max("m").over(whole), "p_empty": empty,
+            "n_above_50": F.count_if(F.col("m") >= 500_000).over(whole), "n_above_80": F.count_if(F.col("m") >= 800_000).over(whole),
+        }
     )
+    run = order.rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumns({"cum": F.sum("m").over(run), "tp": F.sum("y").over(run).cast("long")}).where(F.col("k") <= most)
+    keep = ["s1_id", "n", "all", "best", "p_empty", "n_above_50", "n_above_80"]
+    zero = x.where("k = 1").select(*keep, F.lit(0).alias("k"), *[F.lit(0).cast("long").alias(c) for c in ("cum", "tp", "m")])
+    rows = x.select(*keep, "k", "cum", "tp", "m").unionByName(zero)
+    if truth is not None:
+        rows = rows.join(truth.groupBy("s1_id").agg(F.count("*").alias("nt")), "s1_id", "left").na.fill(0, ["nt"])
+    k, safe = F.col("k"), F.greatest("k", F.lit(1))
+    out = [
+        "s1_id", k.cast("long").alias("k"), F.col("n").alias("n_cands"), ratio6(k, F.col("n")).alias("k_frac"), (F.col("cum") / 1e6).alias("cum_p"), (F.col("m") / 1e6).alias("p_k"), (F.col("best") / 1e6).alias("p1"),
+        ((F.col("best") - F.col("m")) / 1e6).alias("gap_1k"), ratio6(F.col("cum"), safe * 1_000_000).alias("mean_top_k"), (F.col("all") / 1e6).alias("sum_p"), F.round("p_empty", 6).alias("p_empty"),
+        F.when(k == 0, F.round("p_empty", 6)).otherwise(ratio6(5 * F.col("cum"), F.col("all") + safe.cast("long") * 4_000_000)).alias("exp_f05"), "n_above_50", "n_above_80",
+    ]
+    if truth is not None:
+        real = F.when((F.col("nt") == 0) & (k == 0), 1.0).when((F.col("nt") == 0) | (F.col("tp") == 0), 0.0).otherwise(ratio6(5 * F.col("tp"), F.col("nt") + 4 * safe))
+        out.append(real.alias("target"))
+    return rows.select(*out)
+
+
+def best_k(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs kept when each entity takes its k best for the k of the largest ``predicted`` of ``rows`` (s1_id, k, predicted); ties to the smaller k."""
+    first = Window.partitionBy("s1_id").orderBy(F.col("predicted").desc(), "k")
+    chosen = rows.withColumn("rn", F.row_number().over(first)).where("rn = 1").select("s1_id", F.col("k").alias("take"))
+    place = F.row_number().over(Window.partitionBy("s1_id").orderBy(F.col("p").desc(), "cand_id"))
+    return pairs.withColumn("at", place).join(chosen, "s1_id").where("at <= take").select(*pairs.columns)

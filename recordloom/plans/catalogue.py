@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordloom.functions import similarity, text
+from recordloom.functions import text
 from recordloom.operators import blocking, decide, evaluate, features, vectors
 from recordloom.plans import sql
 from recordloom.plans.stages import stored
@@ -37,11 +37,14 @@ def _scored(norm: DataFrame) -> DataFrame:
     own = norm.select("entity_id", F.array_distinct(text.tokens(F.col("name_core"))).alias("nt"), F.array_distinct(text.tokens(F.col("addr_n"))).alias("at"))
     both = features.sides(_cand(norm), own, ["nt", "at"])
 
-    def jaccard(c: str):
-        union = F.size(F.array_union(f"{c}_a", f"{c}_b"))
-        return F.when(union == 0, 0.0).otherwise(F.size(F.array_intersect(f"{c}_a", f"{c}_b")) / F.when(union == 0, 1).otherwise(union))
+    def sizes(c: str):  # of intersection and union
+        both = F.size(F.array_intersect(f"{c}_a", f"{c}_b")).cast("long")
+        return both, F.greatest(F.size(f"{c}_a") + F.size(f"{c}_b") - both, F.lit(1).cast("long"))
 
-    return stored(both.select("s1_id", "cand_id", _r6((jaccard("nt") + jaccard("at")) / 2).alias("p")))
+    (ni, nu), (ai, au) = sizes("nt"), sizes("at")
+    n = both.select("s1_id", "cand_id", ni.alias("ni"), nu.alias("nu"), ai.alias("ai"), au.alias("au"))
+    p = decide.ratio6(F.col("ni") * F.col("au") + F.col("ai") * F.col("nu"), 2 * F.col("nu") * F.col("au"))
+    return stored(n.select("s1_id", "cand_id", p.alias("p")))
 
 
 def _truth(norm: DataFrame) -> DataFrame:
@@ -49,10 +52,7 @@ def _truth(norm: DataFrame) -> DataFrame:
 
 
 def _cosines(norm: DataFrame) -> DataFrame:
-    pairs = _cand(norm).join(_s1c(norm), "s1_id")
-    for view in vectors.VIEWS:
-        pairs = stored(vectors.cosines(pairs, vectors.postings(norm, view), view))
-    return pairs
+    return blocking.cosine_pairs(_cand(norm).join(_s1c(norm), "s1_id"), norm, stored)
 
 
 def _s1c(norm: DataFrame) -> DataFrame:
@@ -144,6 +144,11 @@ def cosine_pairs(s, d):
     return _cosines(_norm(s, d)).select("s1_id", "cand_id", "cos_name", "cos_addr", "cos_full")
 
 
+def generate_candidates(s, d):
+    """Keys, the 15, 15 and 5 best of each block by the three views, all cosines, at most 80 an entity."""
+    return blocking.generate(_norm(s, d), stored)
+
+
 def topk_views(s, d):
     norm = _norm(s, d)
     kp = blocking.key_pairs(blocking.blocking_keys(norm))
@@ -358,7 +363,7 @@ def gbt_oof(s, d):
 
 NAMES = [
     norm_basic_clean, norm_names, norm_addr, postal_numbers, split_sources, doc_frequency, rare_tokens, blocking_keys, oversized_keys, blocking_join,
-    fallback_join, exact_key_join, exact_key_quality, true_pairs, truth_lists, tfidf_name, tfidf_addr, tfidf_full, cosine_pairs, topk_views, topk_whole_group,
+    fallback_join, exact_key_join, exact_key_quality, true_pairs, truth_lists, tfidf_name, tfidf_addr, tfidf_full, cosine_pairs, generate_candidates, topk_views, topk_whole_group,
     cap_candidates, cap_sweep, context_features, set_features, scalar_features, jaro_winkler, string_features, label_pairs, scored_pairs,
     blocking_report, scheme_contribution, candidate_quantiles, folds, fold_scores, threshold_rule, one_to_one_rule, relative_rule, adaptive_rule,
     expected_f05_rule, top1_rule, contested_share, one_to_one_check, exact_key_augment, linkage_macro_f05, threshold_curve, best_threshold,
@@ -373,5 +378,3 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return sql.oracles()
 
-
-__all__ = ["oracle_sql", "queries", "similarity"]

@@ -17,6 +17,11 @@ def _clean(x: str) -> str:
     return f"trim(regexp_replace(regexp_replace({out}, '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
 
 
+def _ratio(num: str, den: str) -> str:
+    """num / den of whole numbers, half up at six digits."""
+    return f"CAST((2000000 * CAST({num} AS BIGINT) + ({den})) // (2 * ({den})) AS DOUBLE) / 1e6::DOUBLE"
+
+
 def _rewrite(x: str, m: dict[str, str]) -> str:
     pairs = f"map({_list(m)}, {_list(m.values())})"
     return f"array_to_string(list_transform(list_filter(string_split({x}, ' '), lambda t: t <> ''), lambda t: coalesce({pairs}[t], t)), ' ')"
@@ -26,9 +31,9 @@ CTES = {
     "rec": """SELECT 'S' || (doc_id % 3 + 1) || '-' || doc_id AS entity_id, 'S' || (doc_id % 3 + 1) AS src, lang AS country,
   array_to_string(w[1:6], ' ') AS name, array_to_string(w[7:], ' ') AS addr
   FROM (SELECT *, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\r]+'), lambda x: x <> '') AS w FROM documents)""",
-    "n0": f"""SELECT *, {_rewrite(_clean('name'), NAME_MAP)} AS name_n, {_rewrite(_clean('addr'), ADDR_MAP)} AS addr_n FROM rec""",
+    "n0": f"""SELECT *, {_rewrite(_clean('name'), NAME_MAP)} AS name_n, {_rewrite(_clean('addr'), ADDR_MAP)} AS addr_n, {_clean('country')} AS country_c FROM rec""",
     "n1": f"""SELECT *, array_to_string(list_filter(string_split(name_n, ' '), lambda t: t <> '' AND NOT list_contains({_list(LEGAL_TOKENS)}, t)), ' ') AS c0 FROM n0""",
-    "norm": """SELECT entity_id, src, lower(trim(country)) AS country_n, name_n, CASE WHEN c0 = '' THEN name_n ELSE c0 END AS name_core, addr_n,
+    "norm": """SELECT entity_id, src, country_c AS country_n, name_n, CASE WHEN c0 = '' THEN name_n ELSE c0 END AS name_core, addr_n,
   (CASE WHEN c0 = '' THEN name_n ELSE c0 END) || ' | ' || addr_n AS full_n,
   list_distinct(regexp_extract_all(addr, '\\b([0-9]{5,6})\\b', 1)) AS postal, list_distinct(regexp_extract_all(addr, '([0-9]+)', 1)) AS nums,
   coalesce(list_min(list_transform(regexp_extract_all(addr, '\\b([0-9]{5,6})\\b', 1), lambda x: CAST(x AS INTEGER))), 0) AS postal1 FROM n1""",
@@ -51,8 +56,7 @@ CTES = {
     "toks": "SELECT entity_id, list_distinct(list_filter(string_split(name_core, ' '), lambda t: t <> '')) AS nt, list_distinct(list_filter(string_split(addr_n, ' '), lambda t: t <> '')) AS adt FROM norm",
     "cnt": """SELECT s1_id, cand_id, len(list_intersect(a.nt, b.nt)) AS ni, len(a.nt) AS na, len(b.nt) AS nb, len(list_intersect(a.adt, b.adt)) AS ai, len(a.adt) AS aa, len(b.adt) AS ab
   FROM cand JOIN toks a ON a.entity_id = s1_id JOIN toks b ON b.entity_id = cand_id""",
-    "scored": """SELECT s1_id, cand_id, round((CASE WHEN na + nb - ni = 0 THEN 0.0 ELSE CAST(ni AS DOUBLE) / (na + nb - ni) END
-  + CASE WHEN aa + ab - ai = 0 THEN 0.0 ELSE CAST(ai AS DOUBLE) / (aa + ab - ai) END) / 2, 6) AS p FROM cnt""",
+    "scored": f"""SELECT s1_id, cand_id, {_ratio("ni * av + ai * nu", "2 * nu * av")} AS p FROM (SELECT *, greatest(na + nb - ni, 1) AS nu, greatest(aa + ab - ai, 1) AS av FROM cnt)""",
     "sets": "SELECT entity_id, src, country_n, list_distinct(list_filter(string_split(name_n || ' ' || addr_n, ' '), lambda t: t <> '')) AS t FROM norm",
     "truth": """SELECT s1_id, cand_id FROM (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id, len(list_intersect(a.t, b.t)) AS i, len(a.t) AS x, len(b.t) AS y
   FROM sets a JOIN sets b ON a.country_n = b.country_n AND a.src = 'S1' AND b.src <> 'S1' AND len(a.t) >= 0.7 * len(b.t) AND len(b.t) >= 0.7 * len(a.t) AND len(a.t) > 0)
@@ -243,14 +247,21 @@ FINAL = {
 CTES["link80"] = "SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) <= 80"
 CTES["link50"] = "SELECT s1_id, cand_id, p FROM link80 WHERE p >= 0.5 QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY p DESC, s1_id) = 1"
 CTES["clink"] = _counts("link50")
-CTES["lk"] = """SELECT s1_id, cand_id, p, CASE WHEN t.cand_id IS NULL THEN 0 ELSE 1 END AS y, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id) AS k, count(*) OVER (PARTITION BY s1_id) AS n,
-  sum(p) OVER (PARTITION BY s1_id) AS sum_p, max(p) OVER (PARTITION BY s1_id) AS p1, exp(sum(ln(1 - least(p, 1 - 1e-12))) OVER (PARTITION BY s1_id)) AS p_empty,
-  sum(p) OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id ROWS UNBOUNDED PRECEDING) AS cum_p, sum(CASE WHEN t.cand_id IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY s1_id ORDER BY p DESC, cand_id ROWS UNBOUNDED PRECEDING) AS tp
-  FROM scored LEFT JOIN truth t USING (s1_id, cand_id)"""
-CTES["lk2"] = "SELECT s1_id, k, n, sum_p, p1, p_empty, cum_p, tp, p FROM lk WHERE k <= 12 UNION ALL SELECT s1_id, 0, n, sum_p, p1, p_empty, 0.0, 0, 0.0 FROM lk WHERE k = 1"
-FINAL["learn_k_rows"] = """SELECT s1_id, CAST(k AS BIGINT) AS k, n AS n_cands, round(k::DOUBLE / n, 6) AS k_frac, round(cum_p, 6) AS cum_p, round(p, 6) AS p_k, round(p1, 6) AS p1, round(p1 - p, 6) AS gap_1k,
-  round(cum_p / greatest(k, 1), 6) AS mean_top_k, round(sum_p, 6) AS sum_p, round(p_empty, 6) AS p_empty, round(CASE WHEN k = 0 THEN p_empty ELSE 1.25::DOUBLE * cum_p / (0.25::DOUBLE * sum_p + k) END, 6) AS exp_f05,
-  round(CASE WHEN coalesce(n_true, 0) = 0 AND k = 0 THEN 1.0 WHEN k = 0 OR coalesce(n_true, 0) = 0 THEN 0.0 ELSE 1.25::DOUBLE * tp / (0.25::DOUBLE * n_true + k) END, 6) AS target FROM lk2 LEFT JOIN nt USING (s1_id)"""
+CTES["lk"] = """SELECT s1_id, cand_id, m, row_number() OVER o AS k, count(*) OVER w AS n, sum(m) OVER w AS total, max(m) OVER w AS best, exp(sum(ln(1 - least(p, 1 - 1e-12))) OVER w) AS p_empty,
+  count(*) FILTER (m >= 500000) OVER w AS n50, count(*) FILTER (m >= 800000) OVER w AS n80, sum(m) OVER (o ROWS UNBOUNDED PRECEDING) AS cum, sum(y) OVER (o ROWS UNBOUNDED PRECEDING) AS tp
+  FROM (SELECT s1_id, cand_id, p, CAST(round(p * 1000000) AS BIGINT) AS m, CASE WHEN t.cand_id IS NULL THEN 0 ELSE 1 END AS y FROM scored LEFT JOIN truth t USING (s1_id, cand_id))
+  WINDOW w AS (PARTITION BY s1_id), o AS (PARTITION BY s1_id ORDER BY m DESC, cand_id)"""
+CTES["lk2"] = """SELECT s1_id, k, n, CAST(total AS BIGINT) AS total, best, p_empty, n50, n80, CAST(cum AS BIGINT) AS cum, CAST(tp AS BIGINT) AS tp, m FROM lk WHERE k <= 12
+  UNION ALL SELECT s1_id, 0, n, CAST(total AS BIGINT), best, p_empty, n50, n80, 0, 0, 0 FROM lk WHERE k = 1"""
+FINAL["learn_k_rows"] = f"""SELECT s1_id, CAST(k AS BIGINT) AS k, n AS n_cands, {_ratio("k", "n")} AS k_frac, cum / 1e6::DOUBLE AS cum_p, m / 1e6::DOUBLE AS p_k, best / 1e6::DOUBLE AS p1, (best - m) / 1e6::DOUBLE AS gap_1k,
+  {_ratio("cum", "greatest(k, 1) * 1000000")} AS mean_top_k, total / 1e6::DOUBLE AS sum_p, round(p_empty, 6) AS p_empty, CASE WHEN k = 0 THEN round(p_empty, 6) ELSE {_ratio("5 * cum", "total + greatest(k, 1) * 4000000")} END AS exp_f05,
+  n50 AS n_above_50, n80 AS n_above_80, CASE WHEN coalesce(n_true, 0) = 0 AND k = 0 THEN 1.0 WHEN coalesce(n_true, 0) = 0 OR tp = 0 THEN 0.0 ELSE {_ratio("5 * tp", "coalesce(n_true, 0) + 4 * greatest(k, 1)")} END::DOUBLE AS target
+  FROM lk2 LEFT JOIN nt USING (s1_id)"""
+CTES["best3"] = """SELECT kp.s1_id, kp.cand_id, cos_name, cos_full, cos_addr, row_number() OVER (b ORDER BY cos_name DESC, kp.cand_id) AS rn, row_number() OVER (b ORDER BY cos_full DESC, kp.cand_id) AS rf,
+  row_number() OVER (b ORDER BY cos_addr DESC, kp.cand_id) AS ra FROM kp JOIN cos ON cos.s1_id = kp.s1_id AND cos.cand_id = kp.cand_id WINDOW b AS (PARTITION BY kp.s1_id, scheme, key)"""
+CTES["gen"] = """SELECT s1_id, cand_id, cos_name, cos_full, cos_addr FROM (SELECT DISTINCT s1_id, cand_id, cos_name, cos_full, cos_addr FROM best3
+  WHERE (rn <= 15 AND cos_name > 0) OR (rf <= 15 AND cos_full > 0) OR (ra <= 5 AND cos_addr > 0)) QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cos_full + cos_addr DESC, cand_id) <= 80"""
+FINAL["generate_candidates"] = "SELECT s1_id, cand_id, cos_name, cos_full, cos_addr FROM gen"
 
 
 def oracles() -> dict[str, str]:

@@ -31,29 +31,41 @@ def load_truth(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("source1_entity_id").alias("s1_id"), id_list(F.col("matched_entity_ids")).alias("ids"))
 
 
-def write_id_lists(s1: DataFrame, pairs: DataFrame, column: str, path: str) -> None:
-    """One line per row of ``s1`` (entity_id, place), in order of place: the id, a tab, the sorted ids."""
-    lists = id_lists(s1, pairs, column)
-    lists.orderBy("place").select("s1_id", column).write.option("sep", "\t").option("quote", "").option("header", True).option("emptyValue", "").mode("error").csv(path)
-
-
 def id_lists(s1: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     found = pairs.groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_set("cand_id")), ",").alias(column))
     keep = [c for c in ("place",) if c in s1.columns]
     return s1.select(F.col("entity_id").alias("s1_id"), *keep).join(found, "s1_id", "left").withColumn(column, F.coalesce(column, F.lit("")))
 
 
+#: Tables under so many bytes (as stored) are dealt out anew before heavy work.
+SPREAD = 256 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as the optimizer knows them (no pass over the data); 0 for what has no files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(n for n in sizes if n < 1 << 60)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table may lie in one row group, which one task reads: it is dealt out to all cores.  A large one has row groups enough."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if 0 < input_bytes(df) < SPREAD else df
+
+
 def from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a record: the first six words are the name, all others the address, the language the country.
 
-    Documents are dealt to the three sources by id; none is left out.
+    Documents are dealt to the three sources by id; none is left out.  One without an id goes to source 3, named by
+    the hash of its text; a null text is empty; repeated ids give repeated records.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
     words = F.array_remove(F.split(F.coalesce("text", F.lit("")), "[ \\t\\n\\r]+"), "")
-    src = F.concat(F.lit("S"), (F.col("doc_id") % 3 + 1).cast("string"))
-    out = docs.select("doc_id", src.alias("src"), words.alias("w"), "lang")
+    src = F.concat(F.lit("S"), F.coalesce(F.pmod("doc_id", F.lit(3)) + 1, F.lit(3)).cast("string"))
+    number = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("none-"), F.hex(F.xxhash64("text"))))
+    out = docs.select(number.alias("number"), src.alias("src"), words.alias("w"), "lang")
     return out.select(
-        F.concat("src", F.lit("-"), F.col("doc_id").cast("string")).alias("entity_id"),
+        F.concat("src", F.lit("-"), "number").alias("entity_id"),
         F.array_join(F.slice("w", 1, 6), " ").alias("business_name"),
         F.when(F.size("w") > 6, F.array_join(F.slice("w", 7, F.greatest(F.size("w"), F.lit(1))), " ")).otherwise(F.lit("")).alias("business_address"),
         F.col("lang").alias("country"),
