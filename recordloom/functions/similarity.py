@@ -5,6 +5,7 @@ Empty against empty: ratios 100 (token set 0), Jaro-Winkler 1.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -46,17 +47,50 @@ def token_set(a: str, b: str) -> float:
     return max(best, ratio(both, left), ratio(both, right)) if both else best
 
 
+def window_lcs(a: str, b: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """LCS lengths of ``a`` (no longer than ``b``) with every window of its length in ``b``, and with the shorter windows at b's ends.
+
+    (whole windows by their start, prefixes of b by their length - 1, suffixes by their start from len(b) - len(a) + 1).
+    One strand enters at each character; two strands cross at a cell at most once, and not where the characters are
+    equal.  A window's LCS is its length less the strands that enter and leave within it.  Cells of one
+    anti-diagonal do not depend on each other, so a diagonal is a few array operations.
+    """
+    m, n = len(a), len(b)
+    x, y = (np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in (a[::-1], b))
+    left, top = np.arange(m), np.arange(m, m + n)
+    for d in range(m + n - 1):
+        first, last, off = max(0, d - m + 1), min(d, n - 1) + 1, m - 1 - d
+        h, v = left[off + first : off + last], top[first:last]
+        cross = (x[off + first : off + last] == y[first:last]) | (h > v)
+        left[off + first : off + last], top[first:last] = np.where(cross, v, h), np.where(cross, h, v)
+    start = top - m  # where the strand that leaves at r entered; below 0: at the left
+    end = np.full(n, n)
+    end[start[start >= 0]] = np.flatnonzero(start >= 0)
+    inside = np.cumsum(start >= 0)  # strands of the prefix that end by r
+    own = np.arange(n - m)
+    gone = np.concatenate([[0], np.cumsum(end[: n - m] < own + m)])
+    came = np.concatenate([[0], np.cumsum(start[m:] >= own + 1)])
+    whole = m - (inside[m - 1] - gone + came)
+    prefix = np.arange(1, m) - inside[: m - 1]
+    tail = np.arange(n - m + 1, n)
+    within = np.cumsum((end < n)[::-1])[::-1]
+    return whole, prefix, (n - tail) - within[tail]
+
+
 def partial(a: str, b: str) -> float:
     """The best ratio of the shorter with a window of its length in the longer, cut at the longer's ends too."""
     a, b = sorted((a, b), key=len)
-    if not a:
+    m = len(a)
+    if not m:
         return 100.0 if not b else 0.0
-    n, best = len(a), 0.0
-    for i in range(1 - n, len(b)):
-        w = b[max(0, i) : i + n]
-        if 200.0 * min(len(w), n) / (n + len(w)) > best:
-            best = max(best, ratio(a, w))
-    return best
+    if a in b:
+        return 100.0
+    whole, prefix, suffix = window_lcs(a, b)
+    size = np.arange(1, m)
+    best = [200.0 * whole.max() / (2 * m)]
+    if m > 1:
+        best += [(200.0 * prefix / (m + size)).max(), (200.0 * suffix / (m + size[::-1])).max()]
+    return float(max(best))
 
 
 def jaro_winkler(a: str, b: str) -> float:
@@ -87,7 +121,11 @@ def jaro_winkler(a: str, b: str) -> float:
 
 def _lift(f):
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([f(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+        # each distinct pair of strings of a batch once
+        (x, left), (y, right) = (pd.factorize(c.fillna("")) for c in (a, b))
+        code, first, back = np.unique(x.astype(np.int64) * max(1, len(right)) + y, return_index=True, return_inverse=True)
+        values = np.array([f(left[x[i]], right[y[i]]) for i in first], np.float64)
+        return pd.Series(values[back] if len(code) else [], dtype="float64")
 
     return F.pandas_udf(run, "double")
 

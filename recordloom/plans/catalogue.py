@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.functions import text
-from recordloom.operators import blocking, decide, evaluate, features, vectors
+from recordloom.operators import blocking, decide, evaluate, features, model, sampling, vectors
 from recordloom.plans import sql
 from recordloom.plans.stages import stored
 from recordloom.sources import records
@@ -150,10 +150,14 @@ def generate_candidates(s, d):
 
 
 def topk_views(s, d):
+    """The best records of each entity in each block, by each view with the view's own number."""
     norm = _norm(s, d)
-    kp = blocking.key_pairs(blocking.blocking_keys(norm))
-    cos = vectors.cosines(kp.select("s1_id", "cand_id").distinct(), vectors.postings(norm, "cos_name"), "cos_name")
-    return vectors.block_top(kp, cos, "cos_name", 3)
+    kp = stored(blocking.key_pairs(blocking.blocking_keys(norm)))
+    cos, out = blocking.cosine_pairs(kp.select("s1_id", "cand_id").distinct(), norm, stored), None
+    for view, spec in vectors.VIEWS.items():
+        one = vectors.block_top(kp, cos, view, spec[4]).select(F.lit(view).alias("view"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def topk_whole_group(s, d):
@@ -198,9 +202,14 @@ def jaro_winkler(s, d):
 
 
 def string_features(s, d):
+    """All eleven scorers of all candidates."""
     norm = _norm(s, d)
-    # All scorers but ad_partial: its windows over whole texts of thousands of words cost minutes a pair.
-    return features.string_features(_truth(norm), norm, [n for n in features.STRINGS if n != "ad_partial"])
+    return features.string_features(_cand(norm), norm)
+
+
+def name_ratios(s, d):
+    norm = _norm(s, d)
+    return features.string_features(_cand(norm), norm, ["nm_ratio", "core_ratio"])
 
 
 def label_pairs(s, d):
@@ -295,31 +304,85 @@ def best_threshold(s, d):
 
 
 def cross_fitted(s, d):
-    """Per fold: the best threshold of the other folds, and its score on this fold.  Frames are tagged, one job for all."""
     norm = _norm(s, d)
-    f, truth = evaluate.folds(_s1(norm)), _truth(norm)
-    five = F.explode(F.array(*[F.lit(i) for i in range(5)])).alias("frame")
-    train, own = f.select("s1_id", "fold", five).where("frame <> fold").select("frame", "s1_id"), f.select(F.col("fold").alias("frame"), "s1_id")
-    scored = _scored(norm)
+    return evaluate.cross_fitted(_scored(norm), _truth(norm), evaluate.folds(_s1(norm)))
 
-    def curve(ids: DataFrame) -> DataFrame:
-        return evaluate.threshold_curve(ids, decide.award(scored.join(ids, "s1_id"), "frame"), truth)
 
-    best = evaluate.best_threshold(curve(train), "frame").select("frame", "t")
-    return curve(own).join(best, ["frame", "t"]).select(F.col("frame").alias("fold"), "t", "macro_f05")
+def loco_threshold(s, d):
+    norm = _norm(s, d)
+    return evaluate.by_other_countries(_scored(norm), _truth(norm), _s1c(norm))
 
 
-def loco_threshold(s, d):
-    """Per country: the best threshold of the other countries, and its score on this one."""
+#: Thresholds and shares of the best score that ``rule_choice`` chooses from.
+RELATIVE = [(t, a) for t in (0.3, 0.5) for a in (0.5, 0.9)]
+
+
+def rule_choice(s, d):
+    """The relative rule: per fold the parameters that are best on the other folds, and their score on this one."""
     norm = _norm(s, d)
-    ids, truth = _s1c(norm), _truth(norm)
-    names = sorted(r[0] for r in ids.select("country_n").distinct().collect())
-    every = F.explode(F.array(*[F.lit(x) for x in names])).alias("frame")
-    train, own = ids.select("s1_id", "country_n", every).where("frame <> country_n").select("frame", "s1_id"), ids.select(F.col("country_n").alias("frame"), "s1_id")
-    scored = _scored(norm)
-    curve = lambda x: evaluate.threshold_curve(x, scored.join(x, "s1_id"), truth)
-    best = evaluate.best_threshold(curve(train), "frame").select("frame", "t")
-    return curve(own).join(best, ["frame", "t"]).select(F.col("frame").alias("country_n"), "t", "macro_f05")
+    return evaluate.cross_fitted_rule(_scored(norm), _truth(norm), evaluate.folds(_s1(norm)), lambda p, g: decide.relative(p, *g), RELATIVE)
+
+
+def modal_threshold(s, d):
+    return evaluate.most_common(cross_fitted(s, d), "t", "fold")
+
+
+def empty_baseline(s, d):
+    norm = _norm(s, d)
+    return evaluate.empty_baseline(_s1(norm), _truth(norm))
+
+
+CAPS = [20, 40, 60, 80, 100, 150, 0]
+
+
+def cap_sweep_scores(s, d):
+    """Seven caps by four scores."""
+    norm = _norm(s, d)
+    n, f, a = (F.col(v) for v in ("cos_name", "cos_full", "cos_addr"))
+    scores = {"max": F.greatest(n, f, a), "sum": F.round(n + f + a, 6), "cos_full": f, "full_addr": F.round(f + a, 6)}
+    return evaluate.cap_sweep(_s1(norm), _cosines(norm), _truth(norm), scores, CAPS)
+
+
+def blocking_sweep(s, d):
+    """The report of candidate generation under several settings of pruning and of the numbers of best records."""
+    norm = _norm(s, d)
+    truth, out = _truth(norm), None
+    for max_df, min_df, k in ((0.01, 2, (15, 15, 5)), (0.01, 2, (10, 10, 5)), (0.1, 2, (15, 15, 5))):
+        cand = blocking.generate(norm, stored, k, max_df=max_df, min_df=min_df)
+        one = evaluate.blocking_report(_s1(norm), cand, truth).select(F.lit(max_df).alias("max_df"), F.lit(min_df).alias("min_df"), F.lit("/".join(map(str, k))).alias("k"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def blocking_diagnostic(s, d):
+    """Candidate generation as it is, with twice the best records, with other numbers of rare words, and with small blocks left out or not."""
+    norm = _norm(s, d)
+    truth, out = _truth(norm), None
+    for name, settings in (("base", {}), ("k_x2", {"k": (30, 30, 10)}), ("tokens_4_3", {"name_tokens": 4, "addr_tokens": 3}), ("blocks_to_20", {"max_block": 20})):
+        one = evaluate.blocking_report(_s1(norm), blocking.generate(norm, stored, **settings), truth).select(F.lit(name).alias("variant"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def row_count(s, d):
+    return records.row_count(s.read.parquet(f"{d}/documents.parquet"))
+
+
+def country_slice(s, d):
+    """The scan of one country's records: the filter goes to the files."""
+    return s.read.parquet(f"{d}/documents.parquet").where(F.col("lang") == "fr").select("doc_id", "source")
+
+
+def subsample(s, d):
+    """100 entities, their true matches and others up to the records per entity of the whole."""
+    norm = _norm(s, d)
+    a, b = sampling.subsample(norm.where(blocking.is_s1()).select("entity_id"), norm.where(~blocking.is_s1()).select("entity_id"), 40, 42, _truth(norm))
+    return a.unionByName(b)
+
+
+def pair_sample(s, d):
+    cand = _cand(_norm(s, d))
+    return model.pair_sample(cand, cand.count(), cand.count() // 4)
 
 
 def learn_k_rows(s, d):
@@ -333,9 +396,30 @@ def id_lists(s, d):
 
 
 def verify_outputs(s, d):
+    """The checks of two outputs that were spoilt: lines moved, lost, put in, ids repeated, unknown, or no candidates."""
+    norm = _norm(s, d)
+    entities = norm.where(blocking.is_s1())
+    place = entities.select("entity_id", F.col("entity_id").alias("place"))
+    lists = lambda pairs: evaluate.numbered(records.id_lists(place, pairs, "ids"), ["place"], stored).drop("place")
+    expected = stored(lists(norm.limit(0).select(F.lit("").alias("s1_id"), F.lit("").alias("cand_id"))))
+    scored = _scored(norm)
+    matched, cand = stored(lists(decide.threshold(scored, 0.5, True))), stored(lists(scored))
+    n, ids = F.col("n"), F.col("ids")
+    added = F.when(n % 10 == 3, F.concat_ws(",", ids, ids)).when(n % 10 == 5, F.concat_ws(",", ids, F.lit("S9-1"))).when(n % 10 == 7, F.concat_ws(",", ids, F.lit("S2-none"))).otherwise(ids)
+    spoilt = matched.where(n % 25 != 11).select("n", F.when(n % 25 == 9, "S1-0").otherwise(F.col("s1_id")).alias("s1_id"), added.alias("ids"))
+    more = cand.select(n, "s1_id", F.when(n % 10 == 8, F.concat_ws(",", ids, F.lit("S3-none"))).otherwise(ids).alias("ids"))
+    extra = cand.where("n = 1").select((n + 1_000_000_000).alias("n"), "s1_id", "ids")
+    return evaluate.output_checks(expected, norm.where(~blocking.is_s1()), spoilt, more.unionByName(extra))
+
+
+def rate_audit(s, d):
+    """Shares of entities with a match: against another rule's, and French ones against the others'."""
     norm = _norm(s, d)
-    cand = _cand(norm)
-    return evaluate.verify_outputs(_s1(norm), norm.where(~blocking.is_s1()), decide.threshold(_scored(norm), 0.5, True).select("s1_id", "cand_id"), cand)
+    scored = _scored(norm)
+    c = evaluate.entity_counts(_s1(norm), decide.threshold(scored, 0.5, True), _truth(norm)).join(_s1c(norm), "s1_id")
+    by = c.groupBy("country_n").agg(F.count("*").alias("n"), F.count_if(F.col("n_pred") > 0).alias("nonempty"))
+    other = evaluate.entity_counts(_s1(norm), decide.threshold(scored, 0.9, True), _truth(norm)).agg(F.avg((F.col("n_pred") > 0).cast("double"))).first()[0]
+    return evaluate.rate_audit(by, F.lit(other), "fr")
 
 
 def country_audit(s, d):
@@ -354,20 +438,30 @@ def pair_set_comparison(s, d):
     return x.agg(both.alias("both"), F.count_if(F.col("b").isNull()).alias("only_a"), F.count_if(F.col("a").isNull()).alias("only_b"), _r6(both / F.greatest(F.count("*"), F.lit(1))).alias("jaccard"))
 
 
+def _model_rows(norm: DataFrame) -> DataFrame:
+    cos = blocking.generate(norm, stored).join(_s1c(norm), "s1_id")
+    return stored(model.labelled(features.all_features(cos, norm), _truth(norm), evaluate.folds(_s1(norm))))
+
+
 def gbt_oof(s, d):
-    from recordloom.operators import model
+    """All 28 features, five fold models stopped early, each pair scored by the model that did not learn from its fold."""
+    rows = _model_rows(_norm(s, d))
+    return model.out_of_fold(rows, model.fold_models(rows, leaf=5))
+
 
+def learned_k(s, d):
     norm = _norm(s, d)
-    return model.out_of_fold(_cosines(norm).drop("country_n"), _truth(norm), evaluate.folds(_s1(norm)), stored)
+    return model.learned_k(_scored(norm), _truth(norm), evaluate.folds(_s1(norm)), stored, leaf=10)
 
 
 NAMES = [
     norm_basic_clean, norm_names, norm_addr, postal_numbers, split_sources, doc_frequency, rare_tokens, blocking_keys, oversized_keys, blocking_join,
     fallback_join, exact_key_join, exact_key_quality, true_pairs, truth_lists, tfidf_name, tfidf_addr, tfidf_full, cosine_pairs, generate_candidates, topk_views, topk_whole_group,
-    cap_candidates, cap_sweep, context_features, set_features, scalar_features, jaro_winkler, string_features, label_pairs, scored_pairs,
+    cap_candidates, cap_sweep, context_features, set_features, scalar_features, jaro_winkler, string_features, name_ratios, label_pairs, scored_pairs,
     blocking_report, scheme_contribution, candidate_quantiles, folds, fold_scores, threshold_rule, one_to_one_rule, relative_rule, adaptive_rule,
     expected_f05_rule, top1_rule, contested_share, one_to_one_check, exact_key_augment, linkage_macro_f05, threshold_curve, best_threshold,
-    cross_fitted, loco_threshold, learn_k_rows, id_lists, verify_outputs, country_audit, pair_set_comparison, gbt_oof,
+    cross_fitted, loco_threshold, rule_choice, modal_threshold, empty_baseline, cap_sweep_scores, blocking_sweep, blocking_diagnostic, row_count,
+    country_slice, subsample, pair_sample, learn_k_rows, id_lists, verify_outputs, country_audit, rate_audit, pair_set_comparison, gbt_oof, learned_k,
 ]
 
 

@@ -158,16 +158,17 @@ def _with(final: str) -> str:
     import re
 
     need: list[str] = []
+    seen: set[str] = set()
 
     def add(sql_text: str) -> None:
         for w in re.findall(r"\b[a-z]\w*\b", sql_text):
-            if w in CTES and w not in need and re.search(rf"\b(FROM|JOIN)\s+{w}\b", sql_text):
+            if w in CTES and w not in seen and re.search(rf"\b(FROM|JOIN)\s+{w}\b", sql_text):
+                seen.add(w)
                 add(CTES[w])
-                if w not in need:
-                    need.append(w)
+                need.append(w)
 
     add(final)
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in need) + "\n" + final if need else final
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({CTES[n]})" for n in need) + "\n" + final if need else final
 
 
 FINAL = {
@@ -192,8 +193,8 @@ FINAL = {
     "tfidf_addr": "SELECT entity_id, count(*) AS n_terms, round(sum(w), 6) AS sum_w FROM post_addr GROUP BY ALL",
     "tfidf_full": "SELECT entity_id, count(*) AS n_terms, round(sum(w), 6) AS sum_w FROM post_full GROUP BY ALL",
     "cosine_pairs": "SELECT s1_id, cand_id, cos_name, cos_addr, cos_full FROM cos",
-    "topk_views": """SELECT kp.s1_id, kp.cand_id, scheme, key FROM kp JOIN (SELECT s1_id, cand_id, round(c, 6) AS c FROM dot_name) x ON x.s1_id = kp.s1_id AND x.cand_id = kp.cand_id WHERE c > 0
-  QUALIFY row_number() OVER (PARTITION BY kp.s1_id, scheme, key ORDER BY c DESC, kp.cand_id) <= 3""",
+    "topk_views": """SELECT 'cos_name' AS view, s1_id, cand_id, scheme, key FROM best3 WHERE rn <= 15 AND cos_name > 0 UNION ALL SELECT 'cos_full', s1_id, cand_id, scheme, key FROM best3 WHERE rf <= 15 AND cos_full > 0
+  UNION ALL SELECT 'cos_addr', s1_id, cand_id, scheme, key FROM best3 WHERE ra <= 5 AND cos_addr > 0""",
     "topk_whole_group": """SELECT s1_id, cand_id, cos FROM (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id, round(sum(a.w * b.w), 6) AS cos FROM post_name a JOIN post_name b USING (country_n, term)
   WHERE a.entity_id LIKE 'S1%' AND b.entity_id NOT LIKE 'S1%' GROUP BY ALL) WHERE cos > 0 QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cos DESC, cand_id) <= 5""",
     "cap_candidates": "SELECT s1_id, cand_id FROM cos QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cos_full + cos_addr DESC, cand_id) <= 20",
@@ -237,7 +238,6 @@ FINAL = {
     "cross_fitted": """SELECT o.frame AS fold, o.t, o.macro_f05 FROM curve_own o JOIN (SELECT frame, t FROM curve_trn QUALIFY row_number() OVER (PARTITION BY frame ORDER BY macro_f05 DESC, t) = 1) b ON b.frame = o.frame AND b.t = o.t""",
     "loco_threshold": """SELECT o.frame AS country_n, o.t, o.macro_f05 FROM curve_lown o JOIN (SELECT frame, t FROM curve_ltrn QUALIFY row_number() OVER (PARTITION BY frame ORDER BY macro_f05 DESC, t) = 1) b ON b.frame = o.frame AND b.t = o.t""",
     "id_lists": "SELECT s1.s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids FROM s1 LEFT JOIN rule50o USING (s1_id) GROUP BY s1.s1_id",
-    "verify_outputs": "SELECT unnest(['matched_in_candidates', 'candidates_known', 'entities_known', 'no_repeats', 'id_prefixes']) AS \"check\", CAST(0 AS BIGINT) AS bad",
     "country_audit": """SELECT country_n, count(*) AS n, count(*) FILTER (n_pred > 0) AS nonempty, CAST(sum(n_pred) AS BIGINT) AS matched, round(avg(CASE WHEN n_true = 0 THEN 1.0 ELSE 0.0 END), 6) AS singletons FROM c50o GROUP BY ALL""",
     "pair_set_comparison": """SELECT count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS both, count(*) FILTER (b IS NULL) AS only_a, count(*) FILTER (a IS NULL) AS only_b,
   round(count(*) FILTER (a IS NOT NULL AND b IS NOT NULL)::DOUBLE / greatest(count(*), 1), 6) AS jaccard FROM (SELECT s1_id, cand_id, 1 AS a FROM rule50o) x FULL JOIN (SELECT s1_id, cand_id, 1 AS b FROM expected) y USING (s1_id, cand_id)""",
@@ -257,13 +257,76 @@ FINAL["learn_k_rows"] = f"""SELECT s1_id, CAST(k AS BIGINT) AS k, n AS n_cands,
   {_ratio("cum", "greatest(k, 1) * 1000000")} AS mean_top_k, total / 1e6::DOUBLE AS sum_p, round(p_empty, 6) AS p_empty, CASE WHEN k = 0 THEN round(p_empty, 6) ELSE {_ratio("5 * cum", "total + greatest(k, 1) * 4000000")} END AS exp_f05,
   n50 AS n_above_50, n80 AS n_above_80, CASE WHEN coalesce(n_true, 0) = 0 AND k = 0 THEN 1.0 WHEN coalesce(n_true, 0) = 0 OR tp = 0 THEN 0.0 ELSE {_ratio("5 * tp", "coalesce(n_true, 0) + 4 * greatest(k, 1)")} END::DOUBLE AS target
   FROM lk2 LEFT JOIN nt USING (s1_id)"""
-CTES["best3"] = """SELECT kp.s1_id, kp.cand_id, cos_name, cos_full, cos_addr, row_number() OVER (b ORDER BY cos_name DESC, kp.cand_id) AS rn, row_number() OVER (b ORDER BY cos_full DESC, kp.cand_id) AS rf,
+CTES["best3"] = """SELECT kp.s1_id, kp.cand_id, scheme, key, cos_name, cos_full, cos_addr, row_number() OVER (b ORDER BY cos_name DESC, kp.cand_id) AS rn, row_number() OVER (b ORDER BY cos_full DESC, kp.cand_id) AS rf,
   row_number() OVER (b ORDER BY cos_addr DESC, kp.cand_id) AS ra FROM kp JOIN cos ON cos.s1_id = kp.s1_id AND cos.cand_id = kp.cand_id WINDOW b AS (PARTITION BY kp.s1_id, scheme, key)"""
 CTES["gen"] = """SELECT s1_id, cand_id, cos_name, cos_full, cos_addr FROM (SELECT DISTINCT s1_id, cand_id, cos_name, cos_full, cos_addr FROM best3
   WHERE (rn <= 15 AND cos_name > 0) OR (rf <= 15 AND cos_full > 0) OR (ra <= 5 AND cos_addr > 0)) QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cos_full + cos_addr DESC, cand_id) <= 80"""
 FINAL["generate_candidates"] = "SELECT s1_id, cand_id, cos_name, cos_full, cos_addr FROM gen"
 
 
+# the outputs of verify_outputs, spoilt in the same way
+CTES["lm"] = "SELECT row_number() OVER (ORDER BY s1.s1_id) AS n, s1.s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM s1 LEFT JOIN rule50o USING (s1_id) GROUP BY s1.s1_id"
+CTES["lc"] = "SELECT row_number() OVER (ORDER BY s1.s1_id) AS n, s1.s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS ids FROM s1 LEFT JOIN scored USING (s1_id) GROUP BY s1.s1_id"
+CTES["xm"] = """SELECT n, CASE WHEN n % 25 = 9 THEN 'S1-0' ELSE s1_id END AS ms, list_filter(string_split(CASE WHEN n % 10 = 3 THEN ids || ',' || ids WHEN n % 10 = 5 THEN ids || ',S9-1' WHEN n % 10 = 7 THEN ids || ',S2-none' ELSE ids END, ','),
+  lambda x: x <> '') AS m FROM lm WHERE n % 25 <> 11"""
+CTES["xc"] = "SELECT n, s1_id AS cs, list_filter(string_split(CASE WHEN n % 10 = 8 THEN ids || ',S3-none' ELSE ids END, ','), lambda x: x <> '') AS c FROM lc UNION ALL SELECT n + 1000000000, s1_id, list_filter(string_split(ids, ','), lambda x: x <> '') FROM lc WHERE n = 1"
+CTES["xr"] = "SELECT * FROM lm l FULL JOIN xm ON xm.n = l.n FULL JOIN xc ON xc.n = coalesce(l.n, xm.n)"
+FINAL["verify_outputs"] = """SELECT 'missing_rows' AS "check", count(*) FILTER (s1_id IS NOT NULL AND (ms IS NULL OR cs IS NULL)) AS bad FROM xr
+  UNION ALL SELECT 'extra_rows', count(*) FILTER (s1_id IS NULL) FROM xr UNION ALL SELECT 'misaligned', count(*) FILTER (s1_id IS NOT NULL AND (ms <> s1_id OR cs <> s1_id)) FROM xr
+  UNION ALL SELECT 'dup_in_list', count(*) FROM xm WHERE len(list_distinct(m)) < len(m)
+  UNION ALL SELECT 'not_in_candidates', count(*) FROM xm LEFT JOIN xc USING (n) WHERE NOT list_has_all(coalesce(c, []), m)
+  UNION ALL SELECT 'bad_prefix', count(*) FROM (SELECT unnest(m) AS i FROM xm) WHERE i NOT LIKE 'S2-%' AND i NOT LIKE 'S3-%'
+  UNION ALL SELECT 'unknown_ids', count(*) FROM (SELECT unnest(c) AS i FROM xc) WHERE i NOT IN (SELECT entity_id FROM norm WHERE src <> 'S1')
+  UNION ALL SELECT 'repeated_entities', count(*) FROM (SELECT ms FROM xm GROUP BY ms HAVING count(*) > 1)"""
+CTES["rate"] = "SELECT country_n, count(*) AS n, count(*) FILTER (n_pred > 0) AS k FROM c50o GROUP BY ALL"
+CTES["rule90o"] = "SELECT s1_id, cand_id, p FROM scored WHERE p >= 0.9 QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY p DESC, s1_id) = 1"
+CTES["rates"] = """SELECT sum(k)::DOUBLE / greatest(sum(n), 1) AS share, max(k::DOUBLE / n) FILTER (country_n = 'fr') AS fr, min(k::DOUBLE / n) FILTER (country_n <> 'fr') AS lo, max(k::DOUBLE / n) FILTER (country_n <> 'fr') AS hi,
+  (SELECT count(DISTINCT s1_id) FROM rule90o)::DOUBLE / (SELECT count(*) FROM s1) AS ref FROM rate"""
+FINAL["rate_audit"] = """SELECT *, coalesce(value >= low AND value <= high, false) AS ok FROM (SELECT 'share_gap' AS "check", round(abs(share - ref), 6) AS value, 0.0::DOUBLE AS low, 0.05::DOUBLE AS high FROM rates
+  UNION ALL SELECT 'unseen_not_collapsed', round(fr, 6), round(0.8::DOUBLE * coalesce(lo, 0.0), 6), 1.0::DOUBLE FROM rates UNION ALL SELECT 'unseen_not_inflated', round(fr, 6), 0.0::DOUBLE, round(1.3::DOUBLE * coalesce(hi, 1.0), 6) FROM rates)"""
+FINAL["empty_baseline"] = "SELECT round(avg(CASE WHEN n_true IS NULL THEN 1.0 ELSE 0.0 END), 6) AS singletons, round(avg(CASE WHEN n_true IS NULL THEN 1.0 ELSE 0.0 END), 6) AS macro_f05 FROM s1 LEFT JOIN nt USING (s1_id)"
+FINAL["modal_threshold"] = f"SELECT t, count(*) AS n FROM ({FINAL['cross_fitted']}) GROUP BY t ORDER BY n DESC, min(fold) LIMIT 1"
+FINAL["row_count"] = "SELECT count(*) AS rows FROM documents"
+FINAL["country_slice"] = "SELECT doc_id, source FROM documents WHERE lang = 'fr'"
+CTES["srt"] = """SELECT s1_id, cand_id, cos_name, cos_full, cos_addr, unnest([{'s': 'max', 'v': greatest(cos_name, cos_full, cos_addr)}, {'s': 'sum', 'v': round(cos_name + cos_full + cos_addr, 6)}, {'s': 'cos_full', 'v': cos_full},
+  {'s': 'full_addr', 'v': round(cos_full + cos_addr, 6)}]) AS x FROM cos"""
+CTES["srk"] = "SELECT s1_id, cand_id, x.s AS score, row_number() OVER (PARTITION BY x.s, s1_id ORDER BY x.v DESC, cand_id) AS r FROM srt"
+CTES["sch"] = """SELECT g.score, g.cap, g.s1_id, coalesce(n_true, 0) AS n_true, count(h.cand_id) AS h FROM (SELECT s1_id, score, cap FROM s1 CROSS JOIN (SELECT unnest(['max', 'sum', 'cos_full', 'full_addr']) AS score)
+  CROSS JOIN (SELECT unnest([20, 40, 60, 80, 100, 150, 0]) AS cap)) g LEFT JOIN nt ON nt.s1_id = g.s1_id LEFT JOIN (SELECT k.* FROM srk k JOIN truth t ON t.s1_id = k.s1_id AND t.cand_id = k.cand_id) h
+  ON h.s1_id = g.s1_id AND h.score = g.score AND (h.r <= g.cap OR g.cap = 0) GROUP BY ALL"""
+FINAL["cap_sweep_scores"] = """SELECT score, cap, CAST(sum(h) AS BIGINT) AS hits, round(sum(h)::DOUBLE / nullif(sum(n_true), 0), 6) AS recall, round(avg(CASE WHEN h = n_true THEN 1.0 ELSE 0.0 END), 6) AS cover,
+  round(avg(CASE WHEN n_true = 0 THEN 1.0 WHEN h = 0 THEN 0.0 ELSE 1.25::DOUBLE * (h::DOUBLE / n_true) / (0.25::DOUBLE + h::DOUBLE / n_true) END), 6) AS oracle_f05 FROM sch GROUP BY ALL"""
+CTES["wrl"] = "SELECT 't' || frame AS frame, s1_id FROM trn UNION ALL SELECT 'v' || frame, s1_id FROM own"
+CTES["rgd"] = "SELECT unnest([{'choice': 0, 't': 0.3::DOUBLE, 'a': 0.5::DOUBLE}, {'choice': 1, 't': 0.3::DOUBLE, 'a': 0.9::DOUBLE}, {'choice': 2, 't': 0.5::DOUBLE, 'a': 0.5::DOUBLE}, {'choice': 3, 't': 0.5::DOUBLE, 'a': 0.9::DOUBLE}], recursive := true)"
+CTES["rkp"] = """SELECT frame, choice, s1_id, cand_id FROM (SELECT *, max(p) OVER (PARTITION BY choice, frame, s1_id) AS best FROM (SELECT frame, choice, a, s1_id, cand_id, p FROM scored JOIN wrl USING (s1_id) JOIN rgd ON p >= t
+  QUALIFY row_number() OVER (PARTITION BY choice, frame, cand_id ORDER BY p DESC, s1_id) = 1)) WHERE p >= a * best"""
+CTES["rsc"] = f"""SELECT frame, choice, round(avg({F05}), 6) AS macro_f05 FROM (SELECT w.frame, w.s1_id, g.choice, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp, coalesce(n_true, 0) AS n_true FROM wrl w CROSS JOIN rgd g
+  LEFT JOIN (SELECT x.frame, x.s1_id, x.choice, count(*) AS n_pred, count(tr.cand_id) AS tp FROM rkp x LEFT JOIN truth tr USING (s1_id, cand_id) GROUP BY ALL) y USING (frame, s1_id, choice) LEFT JOIN nt USING (s1_id)) GROUP BY ALL"""
+FINAL["rule_choice"] = """SELECT CAST(substring(v.frame, 2) AS INTEGER) AS fold, v.choice, v.macro_f05 FROM rsc v JOIN (SELECT frame, choice FROM rsc WHERE frame LIKE 't%' QUALIFY row_number() OVER (PARTITION BY frame ORDER BY macro_f05 DESC, choice) = 1) b
+  ON substring(b.frame, 2) = substring(v.frame, 2) AND b.choice = v.choice WHERE v.frame LIKE 'v%'"""
+CTES["sub1"] = "SELECT s1_id AS entity_id FROM s1 ORDER BY md5('42|' || s1_id), s1_id LIMIT 40"
+CTES["subt"] = "SELECT DISTINCT cand_id AS entity_id FROM truth JOIN sub1 ON sub1.entity_id = s1_id"
+CTES["subo"] = """SELECT entity_id, row_number() OVER (ORDER BY md5('42|' || entity_id), entity_id) AS r FROM norm WHERE src <> 'S1' AND entity_id NOT IN (SELECT entity_id FROM subt)"""
+CTES["subn"] = "SELECT CAST(round(40 * (SELECT count(*) FROM norm WHERE src <> 'S1')::DOUBLE / (SELECT count(*) FROM s1)) AS BIGINT) - (SELECT count(*) FROM subt) AS k"
+FINAL["subsample"] = "SELECT entity_id FROM sub1 UNION ALL SELECT entity_id FROM subt UNION ALL SELECT entity_id FROM subo JOIN subn ON r <= k"
+FINAL["pair_sample"] = """SELECT s1_id, cand_id FROM cand WHERE CAST('0x' || left(md5('42|' || s1_id || '|' || cand_id), 8) AS BIGINT) % 1000000
+  < (SELECT round(1000000 * least(1.0::DOUBLE, floor(count(*) / 4)::DOUBLE / count(*))) FROM cand)"""
+# the longest common subsequence: a row of the table a step, each value the largest so far of what the row before allows
+for _v in ("name_n", "name_core"):
+    CTES[f"lcs_{_v}"] = f"""SELECT a, b, 0 AS i, list_transform(range(0, len(b) + 1), lambda x: 0) AS r FROM (SELECT DISTINCT x.{_v} AS a, y.{_v} AS b FROM cand JOIN norm x ON x.entity_id = s1_id JOIN norm y ON y.entity_id = cand_id)
+  UNION ALL SELECT a, b, i + 1, list_concat([0], list_transform(range(1, len(b) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: CASE WHEN a[i + 1] = b[k] THEN r[k] + 1 ELSE r[k + 1] END)))) FROM lcs_{_v} WHERE i < len(a)"""
+    CTES[f"rat_{_v}"] = f"SELECT a, b, CASE WHEN len(a) + len(b) = 0 THEN 100.0 ELSE round(200.0::DOUBLE * r[len(b) + 1] / (len(a) + len(b)), 6) END::DOUBLE AS q FROM lcs_{_v} WHERE i = len(a)"
+FINAL["name_ratios"] = """SELECT s1_id, cand_id, p.q AS nm_ratio, c.q AS core_ratio FROM cand JOIN norm x ON x.entity_id = s1_id JOIN norm y ON y.entity_id = cand_id
+  JOIN rat_name_n p ON p.a = x.name_n AND p.b = y.name_n JOIN rat_name_core c ON c.a = x.name_core AND c.b = y.name_core"""
+# greedy matching one pair after the other
+CTES["rule80o"] = "SELECT s1_id, cand_id, p FROM scored WHERE p >= 0.8 QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY p DESC, s1_id) = 1"
+CTES["ord"] = """SELECT s1_id, cand_id, p, row_number() OVER (ORDER BY p DESC, s1_id, cand_id) AS rn FROM scored WHERE p >= 0.2 AND s1_id NOT IN (SELECT s1_id FROM rule80o) AND cand_id NOT IN (SELECT cand_id FROM rule80o)"""
+CTES["walk"] = """SELECT 0::BIGINT AS i, []::VARCHAR[] AS us, []::VARCHAR[] AS uc UNION ALL SELECT i + 1, CASE WHEN list_contains(us, s1_id) OR list_contains(uc, cand_id) THEN us ELSE list_append(us, s1_id) END,
+  CASE WHEN list_contains(us, s1_id) OR list_contains(uc, cand_id) THEN uc ELSE list_append(uc, cand_id) END FROM walk JOIN ord ON rn = i + 1"""
+CTES["won"] = "SELECT unnest(us) AS s1_id, unnest(uc) AS cand_id FROM (SELECT us, uc FROM walk ORDER BY i DESC LIMIT 1)"
+FINAL["top1_rule"] = "SELECT s1_id, cand_id, p FROM rule80o UNION ALL SELECT s1_id, cand_id, p FROM won JOIN scored USING (s1_id, cand_id)"
+
+
 def oracles() -> dict[str, str]:
     out = {}
     for name, final in FINAL.items():

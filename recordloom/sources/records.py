@@ -8,11 +8,38 @@ from pyspark.sql import functions as F
 COLS = ["entity_id", "business_name", "business_address", "country"]
 
 
-def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """All columns as strings, no quoting, an empty cell is the empty string, "NA" is text."""
-    schema = ", ".join(f"`{c}` string" for c in columns or COLS)
+def placed(df: DataFrame) -> DataFrame:
+    """``df``, read from files, with the place of each row: (file, where its split begins, number within the task)."""
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")]
+    return df.select("*", F.struct(*split, F.monotonically_increasing_id().alias("row")).alias("place"))
+
+
+def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None, with_place: bool = False) -> DataFrame:
+    """All columns as strings, no quoting, an empty cell is the empty string, "NA" is text; ``with_place``: with the rows' places."""
+    columns = columns or COLS
+    schema = ", ".join(f"`{c}` string" for c in columns)
     df = spark.read.schema(schema).option("sep", "\t").option("quote", "").option("header", True).option("nullValue", "\0").csv(path)
-    return df.na.fill("")
+    df = placed(df) if with_place else df
+    return df.na.fill("", columns)
+
+
+def row_count(df: DataFrame) -> DataFrame:
+    """(rows): from the footers where the source has them."""
+    return df.agg(F.count("*").alias("rows"))
+
+
+def read_pair_tsv(spark: SparkSession, path: str) -> DataFrame:
+    """(s1_id, cand_id) from the first two columns of a file, whatever their names."""
+    raw = spark.read.option("sep", "\t").option("quote", "").option("header", True).csv(path)
+    first, second = raw.columns[:2]
+    return raw.select(F.col(f"`{first}`").alias("s1_id"), F.col(f"`{second}`").alias("cand_id")).na.fill("")
+
+
+def copy_some(spark: SparkSession, path: str, ids: DataFrame, to: str) -> None:
+    """The rows of a record file whose entity_id is in ``ids``, in their order."""
+    from recordloom.sources import outputs
+
+    outputs.write_tsv(read_tsv(spark, path, with_place=True).join(ids.select("entity_id").distinct(), "entity_id", "left_semi"), COLS, to)
 
 
 def load_split(spark: SparkSession, folder: str, split: str) -> tuple[DataFrame, DataFrame]:
@@ -31,6 +58,11 @@ def load_truth(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("source1_entity_id").alias("s1_id"), id_list(F.col("matched_entity_ids")).alias("ids"))
 
 
+def truth_pairs(truth: DataFrame) -> DataFrame:
+    """(s1_id, cand_id) of ``load_truth``."""
+    return truth.select("s1_id", F.explode("ids").alias("cand_id"))
+
+
 def id_lists(s1: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     found = pairs.groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_set("cand_id")), ",").alias(column))
     keep = [c for c in ("place",) if c in s1.columns]
