@@ -10,19 +10,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 FALLBACK_DIR = "/tmp/recordloom-checkpoints"
+#: Tables that this process has written, oldest first.
+_WRITTEN: list[str] = []
 
 
 def work_dir(spark: SparkSession) -> str:
-    return (spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR).rstrip("/")
+    """``spark.checkpoint.dir``; a folder of this machine only where driver and executors are one process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = FALLBACK_DIR
+    return root.rstrip("/")
 
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to a fresh table of the shared folder and read back: the lineage ends there."""
     path = f"{work_dir(df.sparkSession)}/linkage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written() -> int:
+    """How many tables of ``stored`` are there now; for ``drop_since``."""
+    return len(_WRITTEN)
+
+
+def drop_since(spark: SparkSession, mark: int = 0) -> None:
+    """Delete the tables written after ``mark``: what was made from them must have been used or written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN[mark:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    del _WRITTEN[mark:]
+
+
 def signature(*parts) -> str:
     return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()[:16]
 

@@ -157,7 +157,11 @@ def package(folder: str, names: list[str], path: str, expected: dict[str, str] |
 def read_lists(spark: SparkSession, path: str, header: list[str]) -> tuple[DataFrame, bool]:
     """((place, s1_id, ids) of the lines of an output, whether its header is right)."""
     raw = records.placed(spark.read.option("lineSep", "\n").text(path))
-    lines = raw.withColumn("first", F.col("place") == raw.agg(F.min("place")).first()[0]) if raw.take(1) else raw.withColumn("first", F.lit(False))
-    top = lines.where("first").select("value").first()
+    top = raw.orderBy("place").limit(1).collect()
+    if not top:
+        return raw.select("place", F.lit("").alias("s1_id"), F.lit("").alias("ids")), False
+    head = F.lit(True)
+    for k in ("file", "at", "row"):
+        head = head & (F.col(f"place.{k}") == F.lit(top[0].place[k]))
     cells: Column = F.split("value", "\t", 2)
-    return lines.where(~F.col("first")).select("place", F.get(cells, 0).alias("s1_id"), F.coalesce(F.get(cells, 1), F.lit("")).alias("ids")), bool(top) and top[0] == "\t".join(header)
+    return raw.where(~head).select("place", F.get(cells, 0).alias("s1_id"), F.coalesce(F.get(cells, 1), F.lit("")).alias("ids")), top[0].value == "\t".join(header)
