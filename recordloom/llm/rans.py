@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import input_bytes, partitions, shared_dir, slices, stored, texts_of
+from .shared import as_uri, drop_folder, input_bytes, make_folder, partitions, shared_dir, slices, stored, texts_of
 from .words import encoder
 
 MAGIC = b"RLRANS01"
@@ -212,12 +212,12 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
         if doc_ids:
             yield flush()
 
-    _make_folder(f"{folder}/{ATTEMPTS}")
+    make_folder(f"{folder}/{ATTEMPTS}")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = max(partitions(spark), -(-input_bytes(docs) // RANGE_BYTES))
     dealt = source.repartitionByRange(ranges, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     files = stored(dealt.mapInArrow(write, "file string, task int, n_docs long, n_tokens long"), "manifest")
-    _drop_folder(f"{folder}/{ATTEMPTS}")
+    drop_folder(f"{folder}/{ATTEMPTS}")
     own = files.withColumn("part", F.floor(F.col("task") / RANGES))
     before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     groups = own.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", before("n", Window.orderBy("part")).alias("base"))
@@ -225,20 +225,6 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
     return within.join(groups, "part").select("file", "n_docs", "n_tokens", (F.col("base") + F.col("own")).alias("first"))
 
 
-def _make_folder(folder: str) -> None:
-    from pyarrow import fs
-
-    store, root = fs.FileSystem.from_uri(folder)
-    store.create_dir(root, recursive=True)
-
-
-def _drop_folder(folder: str) -> None:
-    from pyarrow import fs
-
-    store, root = fs.FileSystem.from_uri(folder)
-    store.delete_dir(root)
-
-
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     """(file, doc_id, place, n_tokens, ids) of every document in the shard files; place counts the ids before it in its file."""
     out = "file string, doc_id long, place long, n_tokens long, ids binary"
@@ -263,11 +249,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
     """The query's rows, from the files read back."""
     spark = docs.sparkSession
-    folder = f"{_uri(shared_dir(spark))}/shards"
+    folder = f"{as_uri(shared_dir(spark))}/shards"
     manifest = write_shards(docs, path, folder, end_id)
     read = read_shards(spark, folder).select("file", "doc_id", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return read.join(manifest.select("file", "first"), "file").select("doc_id", (F.col("first") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def _uri(path: str) -> str:
-    return path if ":" in path.split("/")[0] else f"file://{path}"

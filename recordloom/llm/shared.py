@@ -9,16 +9,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where intermediate tables go only if the session names no checkpoint folder (as in tests).
+#: Where intermediate tables go only if the session names no checkpoint folder and runs in one process (as in tests).
 FALLBACK_DIR = "/tmp/recordloom-checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or FALLBACK_DIR
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = FALLBACK_DIR
     return f"{root.rstrip('/')}/recordloom-{uuid.uuid4().hex}"
 
 
+def as_uri(path: str) -> str:
+    return path if ":" in path.split("/")[0] else f"file://{path}"
+
+
+def make_folder(folder: str) -> None:
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+
+
+def drop_folder(folder: str) -> None:
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(folder)
+    store.delete_dir(root)
+
+
 def stored(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back.
 
@@ -28,7 +50,15 @@ def stored(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete the table behind what ``stored`` returned, once nothing that reads it is still to run."""
+    path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, stored, texts_of
+from .shared import dropped, slices, stored, texts_of
 
 BUDGET = 3
 #: Fingerprints that a group should hold if they are spread evenly, and above which it is taken further down.
@@ -297,7 +297,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x"))
-        e = stored(small.select("x.u", "x.v").where("u <> v").distinct(), "edges")
+        before, e = e, stored(small.select("x.u", "x.v").where("u <> v").distinct(), "edges")
+        dropped(before)
         now = tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(38,0)")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
         if now == facts:
             break

@@ -23,8 +23,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 LETTER, NUMBER, SPACE, OTHER, END = 1, 2, 3, 4, 5
-#: Code points from here on have no class table; texts with private-use planes go through the library.
-PLANES = 0x30000
+#: Code points from here on are neither letters nor numbers nor blanks: marks, tags, private use, or not assigned.
+PLANES = 0x34000
 
 
 #: The byte-level alphabet: printable bytes stand for themselves, the rest for code points from 256 on.
@@ -214,10 +214,9 @@ class WordEncoder:
 
     def covered(self, texts: list[str], cps: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Which texts the vectorised split covers."""
-        odd = cps >= PLANES
-        odd[ends] = False
+        odd = np.zeros(len(cps), bool)
         if self.kind == "word":
-            odd |= lower_table()[cps] == 0x110000
+            odd = (cps >= PLANES) | (lower_table()[cps] == 0x110000)
             odd[ends] = False
         ok = np.ones(len(texts), bool)
         ok[np.searchsorted(ends, np.flatnonzero(odd))] = False
@@ -250,7 +249,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and each text's offsets in it."""
-        ok, distinct, idx, at = self.split(texts)
+        return self.assembled(texts, *self.split(texts))
+
+    def assembled(self, texts: list[str], ok: np.ndarray, distinct: pa.StringArray, idx: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same from what ``split`` gave for the texts."""
         ids = self.words(distinct.to_pylist())
         flat = np.frombuffer(b"".join(ids), np.uint32)
         off = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])

@@ -56,10 +56,11 @@ def test_op1(spark):
     assert sorted(tuple(r) for r in topk.search(clash, clash.vec_id % 50 == 0, 5, block=2).select("query_id", "rank", "vec_id", "score").collect()) == got
 
 
-def test_op2(table, nothing):
+@pytest.mark.parametrize("head", [0, 20, 200_000])
+def test_op2(table, nothing, head):
     rows, df = table
     tok = words.tokenizer(BYTE)
-    got = Counter(tuple(r) for r in bpe.digests(df, BYTE).collect())
+    got = Counter(tuple(r) for r in bpe.digests(df, BYTE, head).collect())
     want = Counter()
     for i, t in rows:
         ids = ids_of(BYTE, t)
@@ -68,6 +69,33 @@ def test_op2(table, nothing):
     assert bpe.digests(nothing, BYTE).count() == 0
 
 
+def test_op2_words_are_encoded_once(table, monkeypatch):
+    """In the last pass no word is left to encode: the head table and the files have them all."""
+    rows, df = table
+    encode, own = bpe._encode(df, BYTE, "byte", 10)
+
+    def left(batches):
+        import pyarrow as pa
+
+        bpe._ENCODER.clear()
+        for _ in encode(batches):
+            pass
+        yield pa.record_batch([pa.array([e.encoded for e in bpe._ENCODER.values()], pa.int64())], names=["n"])
+
+    assert sum(r.n for r in own.mapInArrow(left, "n long").collect()) == 0
+
+
+def test_op2_special_strings_and_planes():
+    tok = words.tokenizer(BYTE)
+    enc = bpe.TextEncoder(BYTE, "byte")
+    rng = random.Random(3)
+    parts = ["<|endoftext|>", "<|endoftext", " <|endoftext|> ", "a", " b", "'s", "\n", chr(0x30001), chr(0x10FFFD), chr(0xE0101), "1"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(9))) for _ in range(400)]
+    ids, off = enc.encode_texts(texts)
+    for i, t in enumerate(texts):
+        assert ids[off[i] : off[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 @pytest.mark.parametrize("kind,path", [("byte", BYTE), ("word", WORD)])
 def test_vectorised_encoder(kind, path):
     rng = random.Random(1)
