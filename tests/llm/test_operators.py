@@ -636,27 +636,3 @@ def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
-
-
-def test_pipeline(spark):
-    import corpus_pipeline as c
-
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    kept = c.drop_near_duplicates(spark, docs, sf)
-    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(found.values())) and kept.columns == c.COLUMNS
-    assert c.drop_poor(spark, docs, sf).columns == c.COLUMNS
-    assert c.drop_toxic(spark, docs, sf).count() <= docs.count()
-
-
-def test_pipeline_keeps_a_row_of_each_group(spark):
-    """Rows without an id, and one id with different texts."""
-    import corpus_pipeline as c
-
-    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
-    texts = [" ".join(random.Random(k).choices(words, k=50)) for k in range(5)]
-    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[3]), (None, texts[4]), (5, texts[4])]
-    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
-    kept = Counter((r.doc_id, r.text) for r in c.drop_near_duplicates(spark, df, "").collect())
-    assert kept == Counter([(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (5, texts[4])])
