@@ -42,6 +42,9 @@ LEAF = 64
 #: The sketch for similarities: tables of ``WIDTH`` bits, and differing bits in all of it that a candidate may have.
 #: At a Jaccard similarity of 0.8 a bit differs with probability 0.15: 39 of 256, standard deviation 6.
 TABLES, WIDTH, FAR = 8, 32, 58
+#: Differing bits of the sketch up to which two neighbours in a group are linked at once; node pairs of one such crowd
+#: are not looked into.  24 of 256 stand for a Jaccard similarity of 0.92, three standard deviations from 0.8.
+NEAR = 24
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
@@ -157,15 +160,17 @@ def _leaf(a, b, alo, ahi, blo, bhi, budget: int, same: bool) -> tuple[np.ndarray
 
 
 def trie_join(
-    a: np.ndarray, b: np.ndarray | None, depth: int = 0, differ: int = 0, budget: int = BUDGET, agree: int = 0, width: int = 64
+    a: np.ndarray, b: np.ndarray | None, depth: int = 0, differ: int = 0, budget: int = BUDGET, agree: int = 0, width: int = 64, crowds: tuple[np.ndarray, np.ndarray] | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of positions of the sorted arrays a and b (None: a with itself) within ``budget`` differing bits.
 
     All of a share their first ``depth`` bits, so do all of b, and the two prefixes differ in ``differ`` bits.  Only the
-    first ``width`` bits count.  Pairs that differ in their first ``agree`` bits are not looked for.
+    first ``width`` bits count.  Pairs that differ in their first ``agree`` bits are not looked for.  ``crowds`` numbers
+    the positions of a and of b: a pair of nodes of one and the same number is passed over.
     """
     same = b is None
     b = a if same else b
+    runs = [np.concatenate([[0], np.cumsum(c[1:] != c[:-1])]) for c in crowds] if crowds and len(a) and len(b) else None
     if not len(a) or not len(b):
         return
     ones: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -179,6 +184,10 @@ def trie_join(
     stack = [(depth, one(0), one(len(a)), one(0), one(len(b)), one(differ))]
     while stack:
         d, alo, ahi, blo, bhi, e = stack.pop()
+        if runs:
+            (ca, cb), (ra, rb) = crowds, runs
+            mixed = (ra[alo] != ra[ahi - 1]) | (rb[blo] != rb[bhi - 1]) | (ca[alo] != cb[blo])
+            alo, ahi, blo, bhi, e = alo[mixed], ahi[mixed], blo[mixed], bhi[mixed], e[mixed]
         small = ((ahi - alo) * (bhi - blo) <= LEAF) | (d == width)
         for k in range(0, int(small.sum()), 20_000):
             s = np.flatnonzero(small)[k : k + 20_000]
@@ -249,18 +258,23 @@ def grouped_links(work: DataFrame, depth: int, width: int, budget: int, crowd: i
     return found
 
 
-def _in_group(key: tuple, table: pa.Table, depth: int, width: int, budget: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
-    """(order of the rows, pairs of places in that order) of one group."""
+def _in_group(key: tuple, table: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
+    """(order of the rows of a group by side and bits, the bits in that order, how many rows have the first side)."""
     r, side = table.column("r").to_numpy().view(np.uint64), table.column("side").to_numpy()
-    lo, hi = key[1].as_py(), key[2].as_py()
     order = np.lexsort((r, side))
-    n = int((~side).sum())
-    a, b = r[order[:n]], r[order[n:]]
+    return order, r[order], int((~side).sum())
+
+
+def _pairs(key: tuple, bits: np.ndarray, n: int, depth: int, width: int, budget: int, crowds: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places within the budget: of a node with itself, or of the two nodes of the group."""
+    lo, hi = key[1].as_py(), key[2].as_py()
     agree = width // (budget + 1)
     if lo == hi:
-        return order, trie_join(a, None, depth, 0, budget, agree, width)
-    found = trie_join(a, b, depth, (lo ^ hi).bit_count(), budget, agree, width)
-    return order, ((i, j + n) for i, j in found)
+        yield from trie_join(bits, None, depth, 0, budget, agree, width, None if crowds is None else (crowds, crowds))
+    else:
+        split = None if crowds is None else (crowds[:n], crowds[n:])
+        for i, j in trie_join(bits[:n], bits[n:], depth, (lo ^ hi).bit_count(), budget, agree, width, split):
+            yield i, j + n
 
 
 def depth_for(n: int, group: int, block: int) -> int:
@@ -273,9 +287,9 @@ def links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, crowd: int
 
     def join(d: int) -> Callable:
         def run(key: tuple, table: pa.Table) -> pa.Table:
-            order, found = _in_group(key, table, d, 64, budget)
+            order, bits, n = _in_group(key, table)
             fp, forest = table.column("fp").to_numpy()[order], Forest(len(order))
-            for i, j in found:
+            for i, j in _pairs(key, bits, n, d, 64, budget):
                 forest.join(i, j)
             root = forest.roots()
             linked = np.flatnonzero(root != np.arange(len(root)))
@@ -347,6 +361,28 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return docs.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
 
 
+def _neighbours(bits: np.ndarray, n: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places next to each other in the order of the bits below ``depth``: within a side, and across the two."""
+    k = np.arange(len(bits) - 1)
+    k = k[k != n - 1]
+    if n == len(bits):
+        return k, k + 1
+    a, b = (x << np.uint64(depth) for x in (bits[:n], bits[n:]))
+    at = np.searchsorted(b, a)
+    across = [(np.arange(n)[at < len(b)], at[at < len(b)] + n), (np.arange(n)[at > 0], at[at > 0] - 1 + n)]
+    return np.concatenate([k, *(x for x, _ in across)]), np.concatenate([k + 1, *(y for _, y in across)])
+
+
+def _nearest_forest(size: int, a: np.ndarray, b: np.ndarray, dist: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The edges of a spanning forest of least distance, their distances, and the root of each place."""
+    forest, keep = Forest(size), [np.empty(0, np.int64)]
+    for level in np.unique(dist):
+        at = np.flatnonzero(dist == level)
+        keep.append(at[forest.join(a[at], b[at])])
+    keep = np.concatenate(keep)
+    return a[keep], b[keep], dist[keep], forest.roots()
+
+
 def candidate_links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, crowd: int = CROWD, far: int = FAR) -> DataFrame:
     """(u, v): in each group of each table a spanning forest, of least distance, of the node pairs within the budget and ``far``."""
     words = [c for c in reps.columns if c != "node"]
@@ -355,21 +391,21 @@ def candidate_links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, c
 
     def join(d: int) -> Callable:
         def run(key: tuple, table: pa.Table) -> pa.Table:
-            order, found = _in_group(key, table, d, WIDTH, budget)
+            order, bits, n = _in_group(key, table)
             node, sketch = table.column("node").to_numpy()[order], [table.column(w).to_numpy().view(np.uint64)[order] for w in words]
-            a, b, dist = (np.empty(0, np.int64) for _ in range(3))
-            for i, j in found:
-                n = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in sketch)
-                ok = n <= far
-                if ok.any():  # the forest so far and the new pairs, nearest first
-                    a, b, dist = np.concatenate([a, i[ok]]), np.concatenate([b, j[ok]]), np.concatenate([dist, n[ok]])
-                    forest, keep = Forest(len(order)), []
-                    for level in np.unique(dist):
-                        at = np.flatnonzero(dist == level)
-                        keep.append(at[forest.join(a[at], b[at])])
-                    keep = np.concatenate(keep)
-                    a, b, dist = a[keep], b[keep], dist[keep]
-            return pa.table({"u": node[np.asarray(a, np.int64)], "v": node[np.asarray(b, np.int64)]})
+            apart = lambda i, j: sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in sketch)
+            i, j = _neighbours(bits, n, d)
+            dist = apart(i, j)
+            i, j, dist = i[dist <= NEAR], j[dist <= NEAR], dist[dist <= NEAR]
+            a, b, dist, crowds = _nearest_forest(len(order), i, j, dist)
+            for i, j in _pairs(key, bits, n, d, WIDTH, budget, crowds):
+                own = crowds[i] != crowds[j]
+                i, j = i[own], j[own]
+                m = apart(i, j)
+                ok = m <= far
+                if ok.any():  # the forest so far and the new pairs
+                    a, b, dist, _ = _nearest_forest(len(order), np.concatenate([a, i[ok]]), np.concatenate([b, j[ok]]), np.concatenate([dist, m[ok]]))
+            return pa.table({"u": node[a], "v": node[b]})
 
         return run
 
@@ -383,18 +419,18 @@ def similar_groups(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFr
     ``share`` of their sets of shingles are linked; the component has the smallest doc_id in it."""
     marked = stored(sketches(docs, size), "sketches")
     words = [c for c in marked.columns if c not in ("doc_id", "node")]
+    # equal sets are one node, named by its smallest row: then a component's smallest node is its smallest row
     reps = marked.groupBy("node").agg(F.min(F.struct("doc_id", *words)).alias("x"))
-    reps = stored(reps.select("node", F.col("x.doc_id").alias("first"), *[f"x.{w}" for w in words]), "reps")
+    reps = stored(reps.select(F.col("node").alias("set"), F.col("x.doc_id").alias("node"), *[f"x.{w}" for w in words]), "reps")
     near = stored(candidate_links(reps.select("node", *words)), "candidates")
-    needed = reps.join(near.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi").select("node", F.col("first").alias("doc_id"))
-    sets = stored(shingle_sets(docs.select("doc_id", "text").join(needed, "doc_id"), size), "sets")
+    needed = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
+    sets = stored(shingle_sets(texts.withColumnRenamed("doc_id", "node"), size), "sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
     both, part = F.size(F.array_intersect("of_u", "of_v")).cast("long"), round(1000 * share)
     true = near.join(left, "u").join(right, "v").where(both * (1000 + part) >= part * (F.size("of_u") + F.size("of_v"))).select("u", "v")
-    comp = components(true)
-    rooted = reps.join(comp, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.select("doc_id", "node").join(rooted.select("node", "root").join(ids, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+    rooted = reps.select("set", "node").join(components(true), "node", "left").select(F.col("set").alias("node"), F.coalesce("root", "node").alias("component_id"))
+    return marked.select("doc_id", "node").join(rooted, "node").select("doc_id", "component_id")
 
 
 def with_hex(found: DataFrame) -> DataFrame:

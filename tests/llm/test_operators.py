@@ -582,6 +582,27 @@ def test_op10_crowded_prefix(spark, group, crowd):
     assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
 
 
+def test_crowd_of_near_copies_is_not_paired():
+    """Thousands of copies of one text with one word replaced: far fewer pairs are looked at than there are."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**64, 4, dtype=np.uint64)
+    crowd = np.repeat(base[None], 6000, axis=0)
+    for row in crowd:  # six of 256 bits each
+        for k in rng.choice(256, 6, replace=False):
+            row[k // 64] ^= np.uint64(1) << np.uint64(k % 64)
+    other = rng.integers(0, 2**64, (3000, 4), dtype=np.uint64)
+    sketch = np.concatenate([crowd, other])
+    r = np.concatenate([sketch[:, 0] >> np.uint64(32) << np.uint64(32)])
+    order = np.argsort(r)
+    i, j = simhash._neighbours(r[order], len(r), 0)
+    apart = np.bitwise_count(sketch[order][i] ^ sketch[order][j]).sum(axis=1)
+    near = apart <= simhash.NEAR
+    _, _, _, crowds = simhash._nearest_forest(len(r), i[near], j[near], apart[near])
+    seen = sum(len(x) for x, _ in simhash.trie_join(r[order], None, 0, 0, 3, 8, 32, (crowds, crowds)))
+    every = sum(len(x) for x, _ in simhash.trie_join(r[order], None, 0, 0, 3, 8, 32))
+    assert every > 5_000_000 and seen < every / 10
+
+
 def jaccard_groups(texts, size=5, share=0.8):
     """For each text the smallest place of its component, by all pairs."""
     sets = []
