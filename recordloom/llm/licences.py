@@ -201,13 +201,32 @@ def _places(words: Column, phrase: list[str]) -> Column:
     return F.when((F.size(words) >= len(phrase)) & F.array_contains(words, phrase[0]), F.filter(every, lambda i: _at(words, i, phrase))).otherwise(F.array().cast("array<int>"))
 
 
-def _hits(words: Column, entry: dict) -> Column:
-    """Places and postings of the indexed words of a text: an array of (k, i), k the number of the word."""
+def _lookup(entry: dict):
+    """(number of the slot's word, whether that is the word itself) of a word."""
     shift, size, table = slots(entry["words"])
     slot, known = _numbers(table), F.split(F.lit(",".join(entry["words"])), ",")
     number = lambda w: F.get(slot, F.shiftrightunsigned(F.xxhash64(w), shift).bitwiseAND(F.lit(size - 1)).cast("int"))
-    marked = F.transform(words, lambda w, i: F.struct(w.alias("w"), number(w).alias("k"), i.alias("i")))
-    return F.filter(marked, lambda x: (x.k >= 0) & (F.get(known, x.k) == x.w))
+    return number, lambda w: F.get(known, number(w)) == w
+
+
+def _hits(words: Column, entry: dict) -> Column:
+    """Places of the indexed words of a text: an array of (k, i), k the number of the word."""
+    number, is_known = _lookup(entry)
+    marked = F.transform(words, lambda w, i: F.when(is_known(w), F.struct(number(w).alias("k"), i.alias("i"))))
+    return F.filter(marked, lambda x: x.isNotNull())
+
+
+def _least_distinct(entry: dict) -> int:
+    """So many different indexed words a text must have for any template to get its votes."""
+    least = []
+    for t, e in enumerate(entry["templates"]):
+        votes = sorted((sum(k == t for k, _ in own) for own in entry["postings"].values()), reverse=True)
+        n, total = 0, 0
+        while total < e["need"]:
+            total += votes[n]
+            n += 1
+        least.append(n)
+    return min(least)
 
 
 def _windows(hits: Column, entry: dict) -> Column:
@@ -249,14 +268,13 @@ def scan(docs: DataFrame, templates: list[tuple[str, str, str]] | None = None) -
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_remove(F.split(low, SEPARATORS), "").alias("words"))
     words = F.col("words")
     heads = F.array(*[F.lit(w) for w in dict.fromkeys(p.split()[0] for p in PHRASES)])
-    out = out.withColumns({"hits": _hits(words, entry), "hint": F.arrays_overlap("words", heads)})
-    least = min(e["need"] for e in entry["templates"])
-    none = F.array().cast("array<string>")
+    known = F.filter(F.array_distinct("words"), _lookup(entry)[1])
+    out = out.withColumns({"enough": F.size(known) >= _least_distinct(entry), "hint": F.arrays_overlap("words", heads)})
     out = out.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
-        F.when(F.col("hint") | (F.size("hits") >= least), words).otherwise(none).alias("words"),
-        F.when(F.size("hits") >= least, F.col("hits")).otherwise(F.slice("hits", 1, 0)).alias("hits"),
+        F.when(F.col("hint") | F.col("enough"), words).otherwise(F.array().cast("array<string>")).alias("words"),
+        F.when(F.col("enough"), _hits(words, entry)).otherwise(F.array().cast("array<struct<k:int,i:int>>")).alias("hits"),
     )
     base = [(label, _places(words, phrase.split())) for phrase, label in PHRASES.items()]
     out = out.withColumn("votes", _windows(F.col("hits"), entry)).withColumn("found", _verified(words, F.col("votes"), entry))
