@@ -7,7 +7,8 @@ may only differ below the block.  The nodes of the first ``depth`` levels are th
 as often as there are blocks, however many there are.  Within a group a node pair carries the number of differing
 bits so far, its four child pairs are made at once, and those over the budget are dropped; small node pairs are
 compared directly.  A group of more than ``crowd`` fingerprints is not joined in one task: it is first taken
-``STEP`` levels down to the node pairs within the budget, again and again until none is crowded.
+``STEP`` levels down to the node pairs within the budget, again and again until none is crowded.  One that still is at
+the last levels (sketches alike in a whole table) is cut into blocks, and each pair of blocks is a task of its own.
 
 A group sends no list of all its links, but a spanning forest of them, so a crowd of near copies gives as many rows
 as it has fingerprints.  Components over those rows come from alternating large-star and small-star rounds, each
@@ -238,19 +239,31 @@ def taken_down(work: DataFrame, depth: int, budget: int, agree: int) -> DataFram
     return near.select(*rest, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") > F.col("other")).alias("side"))
 
 
+def in_blocks(work: DataFrame, crowded: DataFrame, crowd: int) -> DataFrame:
+    """The rows of the groups ``crowded`` (key, n), that have no levels left, once for each pair of blocks (a, b) with theirs.
+
+    A group has so many blocks that two hold about ``crowd`` rows, and any two of its rows meet in some pair of blocks.
+    """
+    blocks = F.ceil(2 * F.col("n") / crowd).cast("int")
+    own = F.pmod(F.xxhash64(*[c for c in work.columns if c not in ("t", "lo", "hi", "side")]), F.col("blocks")).cast("int")
+    each = work.join(crowded.withColumn("blocks", blocks), ["t", "lo", "hi"]).withColumn("own", own)
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: x != F.col("own")))
+    return each.select(*work.columns, "own", other.alias("other")).select(*work.columns, F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+
+
 def grouped_links(work: DataFrame, depth: int, width: int, budget: int, crowd: int, join: Callable[[int], Callable], out: str) -> DataFrame:
-    """What ``join`` of the depth finds in each group; crowded groups are taken down first."""
+    """What ``join`` of the depth finds in each group; crowded groups are taken down first, and at the last level cut into blocks."""
     key, agree, parts = ["t", "lo", "hi"], width // (budget + 1), []
     while True:
-        crowded = None
-        if depth + STEP < width:
-            crowded = stored(work.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > crowd).select(*key), "crowded")
-            crowded = None if crowded.isEmpty() else crowded
-        few = work.join(crowded, key, "left_anti") if crowded is not None else work
-        parts.append(few.groupBy(*key).applyInArrow(join(depth), out))
-        if crowded is None:
+        crowded = stored(work.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > crowd), "crowded")
+        if crowded.isEmpty():
+            parts.append(work.groupBy(*key).applyInArrow(join(depth), out))
+            break
+        parts.append(work.join(crowded, key, "left_anti").groupBy(*key).applyInArrow(join(depth), out))
+        if depth + STEP >= width:
+            parts.append(in_blocks(work, crowded, crowd).groupBy(*key, "a", "b").applyInArrow(join(depth), out))
             break
-        work = stored(taken_down(work.join(crowded, key, "left_semi"), depth, budget, agree), "nodes")
+        work = stored(taken_down(work.join(crowded.select(*key), key, "left_semi"), depth, budget, agree), "nodes")
         depth += STEP
     found = parts[0]
     for p in parts[1:]:

@@ -603,6 +603,31 @@ def test_crowd_of_near_copies_is_not_paired():
     assert every > 5_000_000 and seen < every / 10
 
 
+def test_sketches_alike_in_a_whole_table(spark):
+    """A crowd with one word of the sketch in common, cut into blocks: the same groups as by all pairs, every link a true one."""
+    rng = np.random.default_rng(17)
+    sketch = np.repeat(rng.integers(0, 1 << 63, (12, 4)).astype(np.uint64), 8, axis=0)
+    for row in sketch:
+        for bit in rng.integers(32, 256, rng.integers(0, 30)):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(63 - bit % 64)
+    sketch[:, 0] = sketch[:, 0] & np.uint64((1 << 32) - 1) | np.uint64(0xABCD0123 << 32)
+    rows = [(k, *x) for k, x in enumerate(sketch.view(np.int64).tolist())]
+    reps = spark.createDataFrame(rows, "node long, w0 long, w1 long, w2 long, w3 long")
+    got = {tuple(r) for r in simhash.candidate_links(reps, group=1, crowd=50).collect()}
+    apart = np.bitwise_count(sketch[:, None] ^ sketch[None]).astype(int).sum(axis=2)  # all agree in the first table
+    assert got and all(apart[u, v] <= simhash.FAR for u, v in got)
+
+    def roots(pairs):
+        up = list(range(len(rows)))
+        for u, v in pairs:
+            x, y = up[u], up[v]
+            up = [min(x, y) if r in (x, y) else r for r in up]
+        return up
+
+    want = roots((u, v) for u in range(len(rows)) for v in range(u) if apart[u, v] <= simhash.FAR)
+    assert roots(got) == want and 1 < len(set(want)) < len(rows)
+
+
 def jaccard_groups(texts, size=5, share=0.8):
     """For each text the smallest place of its component, by all pairs."""
     sets = []
