@@ -17,7 +17,8 @@ written to the shared folder.
 ``near_duplicates`` links at a number of differing bits.  ``similar_groups`` links at a Jaccard similarity of the
 shingle sets: a wider sketch has several tables, a pair within the budget in any table and within ``FAR`` bits over
 all is a candidate, a group sends a spanning forest of its candidates of least distance, and each link of that is
-verified by the sets themselves.
+verified by the sets themselves.  That joins nearly all; an exact check follows: sets of different components that share
+a shingle of their prefixes (so long that sets of that similarity must) are candidates too, so no link is lost.
 
 Defined results: null text is empty; a text without words has fingerprint zero and links like any other (its set is
 empty and similar to empty sets only); repeated rows get a row each and the same component; rows with null doc_id are
@@ -31,7 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import dropped, slices, stored, texts_of
@@ -46,6 +47,9 @@ TABLES, WIDTH, FAR = 8, 32, 58
 #: Differing bits of the sketch up to which two neighbours in a group are linked at once; node pairs of one such crowd
 #: are not looked into.  24 of 256 stand for a Jaccard similarity of 0.92, three standard deviations from 0.8.
 NEAR = 24
+#: Rows that the order of prefixes is taken from, and common shingles in it at most.
+ORDER_ROWS, ORDER_MOST = 1 << 13, 50_000
+ODD = ["o0", "o1", "o2", "o3"]
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
@@ -343,9 +347,44 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, size: int = 3) -> Dat
     return marked.join(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
-    """(doc_id, node, w0 .. w3) of every row: a hash of its set of shingles, and its sketch."""
-    words = TABLES * WIDTH // 64
+def common_shingles(docs: DataFrame, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sorted; how often) of the commonest shingles of about ``ORDER_ROWS`` rows: they come last in prefixes.
+
+    Prefixes are exact in any order; this one keeps passages that many texts share out of them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, chars=1_000_000):
+                hashes, off = shingle_hashes(texts_of(part), size)
+                sets = [np.unique(hashes[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["h"])
+
+    some = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, docs.count() // ORDER_ROWS))) == 0
+    found = docs.where(some).select("doc_id", "text").mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 2")
+    rows = found.orderBy(F.col("n").desc(), "h").limit(ORDER_MOST).collect()
+    h, n = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix_of(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], part: int) -> np.ndarray:
+    """The first shingles of a set (sorted), rare ones first: of two sets with ``part`` thousandths in common, one is in both."""
+    n, (h, often) = len(shingles), common
+    at = np.minimum(np.searchsorted(h, shingles), max(0, len(h) - 1))
+    rank = np.where(h[at] == shingles, often[at], 0) if len(h) else np.zeros(n, np.int64)
+    return shingles[np.argsort(rank, kind="stable")][: n - (part * n + 999) // 1000 + 1 if n else 0]
+
+
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """256 bits as 4 words: whether an odd number of the set falls on each.  They differ in no more bits than the sets in members."""
+    odd = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def sketches(docs: DataFrame, size: int = 5, share: int = 800) -> DataFrame:
+    """(doc_id, node, w0 .. w3, n, prefix, o0 .. o3) of every row: a hash of its set of shingles, its sketch; the set's size, prefix and parities."""
+    words, common = TABLES * WIDTH // 64, common_shingles(docs, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as h
@@ -353,11 +392,15 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
         for batch in batches:
             for part in slices(batch, chars=1_000_000):
                 hashes, off = shingle_hashes(texts_of(part), size)
-                node = np.array([h(np.unique(hashes[a:b]).tobytes()) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], np.uint64)
+                sets = [np.unique(hashes[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+                node = np.array([h(x.tobytes()) for x in sets], np.uint64)
                 cols = [majority(remixed(hashes, k), off).view(np.int64) for k in range(words)]
-                yield pa.record_batch([part.column(0), pa.array(node.view(np.int64)), *map(pa.array, cols)], names=["doc_id", "node", *(f"w{k}" for k in range(words))])
+                first = pa.array([prefix_of(x, common, share).view(np.int64) for x in sets], pa.list_(pa.int64()))
+                odd = np.array([parities(x) for x in sets], np.int64).reshape(-1, 4)
+                every = [part.column(0), pa.array(node.view(np.int64)), *map(pa.array, cols), pa.array([len(x) for x in sets], pa.int64()), first, *(pa.array(odd[:, k]) for k in range(4))]
+                yield pa.record_batch(every, names=["doc_id", "node", *(f"w{k}" for k in range(words)), "n", "prefix", *ODD])
 
-    out = "doc_id long, node long, " + ", ".join(f"w{k} long" for k in range(words))
+    out = "doc_id long, node long, " + ", ".join(f"w{k} long" for k in range(words)) + ", n long, prefix array<long>, " + ", ".join(f"{o} long" for o in ODD)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, out)
 
 
@@ -427,22 +470,55 @@ def candidate_links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, c
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
 
 
+def prefix_candidates(rows: DataFrame, part: int) -> DataFrame:
+    """(u, v), u < v: nodes of ``rows`` (node, component_id, n, prefix, o0 .. o3) in different components that may be similar.
+
+    They share a shingle of their prefixes, are alike in size, could still have enough in common after that shingle, and
+    their parities differ in no more bits than the sets may in members.  Shingles within one component are dropped; of
+    the others, the rows outside the component that is most frequent under the shingle meet all rows.
+    """
+    each = rows.select("node", F.col("component_id").alias("c"), "n", F.posexplode("prefix").alias("at", "h")).repartition("h")
+    by_h = Window.partitionBy("h")
+    mixed = each.withColumns({"low": F.min("c").over(by_h), "high": F.max("c").over(by_h)}).where("low <> high").select("h", "node", "c", "n", "at")
+    mixed = stored(mixed, "mixed")
+    main = mixed.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
+    a = mixed.join(main, "h").where("c <> main").select("h", *[F.col(x).alias(f"{x}_a") for x in ("node", "c", "n", "at")])
+    b = mixed.select("h", *[F.col(x).alias(f"{x}_b") for x in ("node", "c", "n", "at")])
+    fits = f"c_a <> c_b AND 1000 * n_a >= {part} * n_b AND 1000 * n_b >= {part} * n_a AND {1000 + part} * least(n_a - at_a, n_b - at_b) >= {part} * (n_a + n_b)"
+    pairs = a.join(b, "h").where(fits).select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
+    u, v = (rows.select(F.col("node").alias(x), *[F.col(o).alias(f"{o}_{x}") for o in ("n", *ODD)]) for x in ("u", "v"))
+    apart = sum((F.bit_count(F.col(f"{o}_u").bitwiseXOR(F.col(f"{o}_v"))) for o in ODD), F.lit(0))
+    return pairs.join(u, "u").join(v, "v").where(apart * (1000 + part) <= (1000 - part) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
+
+
+def verified(near: DataFrame, docs: DataFrame, size: int, part: int) -> DataFrame:
+    """The pairs of ``near`` (u, v: doc_id of ``docs``) whose sets of shingles have ``part`` thousandths or more in common."""
+    needed = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
+    sets = stored(shingle_sets(texts.withColumnRenamed("doc_id", "node"), size), "sets")
+    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
+    both = F.size(F.array_intersect("of_u", "of_v")).cast("long")
+    true = near.join(left, "u").join(right, "v").where(both * (1000 + part) >= part * (F.size("of_u") + F.size("of_v"))).select("u", "v")
+    true = stored(true, "links")
+    dropped(sets)
+    return true
+
+
 def similar_groups(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of every row of ``docs`` (doc_id: unique, not null): rows of Jaccard similarity of at least
     ``share`` of their sets of shingles are linked; the component has the smallest doc_id in it."""
-    marked = stored(sketches(docs, size), "sketches")
-    words = [c for c in marked.columns if c not in ("doc_id", "node")]
+    part = round(1000 * share)
+    marked = stored(sketches(docs, size, part), "sketches")
+    words = [f"w{k}" for k in range(TABLES * WIDTH // 64)]
     # equal sets are one node, named by its smallest row: then a component's smallest node is its smallest row
     reps = marked.groupBy("node").agg(F.min(F.struct("doc_id", *words)).alias("x"))
     reps = stored(reps.select(F.col("node").alias("set"), F.col("x.doc_id").alias("node"), *[f"x.{w}" for w in words]), "reps")
     near = stored(candidate_links(reps.select("node", *words)), "candidates")
-    needed = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
-    sets = stored(shingle_sets(texts.withColumnRenamed("doc_id", "node"), size), "sets")
-    left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
-    both, part = F.size(F.array_intersect("of_u", "of_v")).cast("long"), round(1000 * share)
-    true = near.join(left, "u").join(right, "v").where(both * (1000 + part) >= part * (F.size("of_u") + F.size("of_v"))).select("u", "v")
-    rooted = reps.select("set", "node").join(components(true), "node", "left").select(F.col("set").alias("node"), F.coalesce("root", "node").alias("component_id"))
+    true = verified(near, docs, size, part)
+    of = reps.select("set", "node").join(components(true), "node", "left").select("set", "node", F.coalesce("root", "node").alias("component_id"))
+    rows = of.join(marked.select(F.col("doc_id").alias("node"), "n", "prefix", *ODD), "node").where("n > 0")
+    more = verified(stored(prefix_candidates(rows, part), "candidates"), docs, size, part)
+    rooted = reps.select("set", "node").join(components(true.union(more)), "node", "left").select(F.col("set").alias("node"), F.coalesce("root", "node").alias("component_id"))
     return marked.select("doc_id", "node").join(rooted, "node").select("doc_id", "component_id")
 
 

@@ -682,3 +682,20 @@ def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101)]
     got = {r.node: r.root for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_links_that_sketches_miss(spark):
+    """Pairs of texts at just 0.8, in crowds of copies and alone: all are linked, whatever their sketches say."""
+    rng, texts = random.Random(7), []
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    for _ in range(300):  # 36 of 45 shingles (44 words are 40) or 36 of 44 in common
+        base = [word() for _ in range(44)]
+        texts += [" ".join(base), " ".join(base[:40] + [word() for _ in range(4 + (len(texts) % 4) // 2)])]
+    crowd = [word() for _ in range(400)]
+    for k in range(40):  # alike to their neighbours only
+        crowd = crowd[12:] + [word() for _ in range(12)]
+        texts.append(" ".join(crowd))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
+    want = {i: i // 2 * 2 if i < 600 else 600 for i in range(len(texts))}
+    assert got == want
