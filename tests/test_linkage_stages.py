@@ -437,3 +437,23 @@ def test_stream(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.table("norm_out").first()
     assert (got.name_core, got.addr_n, got.postal1, got.country_n) == ("abc", "10 street martin road 75001", 75001, "fr") and math.isclose(1, 1)
+
+
+def test_written_records_hold_no_text_twice(spark):
+    from recordloom.plans import catalogue
+
+    norm = catalogue._norm(spark, "/root/testdata/sf0.001")
+    kept = set(spark.read.parquet(*norm.inputFiles()).columns)
+    assert not kept & {"business_name", "business_address", "full_n"} and "full_n" in norm.columns
+
+
+def test_similar_pairs_of_copies(spark):
+    """Copies are one set until the end: all their pairs are there, and none across countries."""
+    from recordloom.operators import blocking
+
+    rows = [(f"S{k % 3 + 1}-{k}", "fr" if k % 7 == 0 else "en", "a b c" if k % 2 else "c b a", "d e f g" if k % 5 else "d e f x y") for k in range(60)] + [("S1-none", "en", "", "")]
+    norm = spark.createDataFrame(rows, "entity_id string, country_n string, name_n string, addr_n string")
+    words = {r[0]: (r[1], set(f"{r[2]} {r[3]}".split())) for r in rows}
+    want = {(a, b) for a, (c, x) in words.items() for b, (d, y) in words.items() if a[:2] == "S1" and b[:2] != "S1" and c == d and x and y and len(x & y) >= 0.7 * len(x | y)}
+    got = [tuple(r) for r in blocking.similar_pairs(norm).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
