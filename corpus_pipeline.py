@@ -40,8 +40,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows = stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "rows")
     found = simhash.similar_groups(rows.select(F.col("row").alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
-    keep = rows.select("row", "doc_id").join(found, "row").groupBy("component_id").agg(first).select("first.row")
-    return rows.join(keep, "row", "left_semi").select(*COLUMNS)
+    member = stored(rows.select("row", "doc_id").join(found, "row"), "members")
+    keep = member.groupBy("component_id").agg(first).select("first.row")
+    gone = stored(member.select("row").join(keep, "row", "left_anti"), "gone")  # few, so the texts need not be shuffled
+    return rows.join(F.broadcast(gone) if gone.count() <= simhash.SENT else gone, "row", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,7 +49,8 @@ TABLES, WIDTH, FAR = 8, 32, 58
 NEAR = 24
 #: Rows that the order of prefixes is taken from, and common shingles in it at most.
 ORDER_ROWS, ORDER_MOST = 1 << 13, 50_000
-ODD = ["o0", "o1", "o2", "o3"]
+#: Pairs up to which the ids whose texts are needed go to all tasks; beyond that the texts are shuffled.
+SENT = 1 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
@@ -377,13 +378,26 @@ def prefix_of(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], part:
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
-    """256 bits as 4 words: whether an odd number of the set falls on each.  They differ in no more bits than the sets in members."""
-    odd = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    """One to two bits a member, 256 at least, in words: whether an odd number of the set falls on each.
+
+    They differ in no more bits than the sets in members.  A fixed number of bits says nothing of sets that are larger:
+    half of them differ whatever the sets.
+    """
+    size = max(256, 1 << max(0, len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def parities_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many bits two sets' parities differ, at the length of the shorter: a half falls on the other."""
+    if len(a) < len(b):
+        a, b = b, a
+    apart = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0) ^ b
+    return int(np.bitwise_count(apart.view(np.uint64)).sum())  # of signed numbers it counts the bits of the amount
+
+
 def sketches(docs: DataFrame, size: int = 5, share: int = 800) -> DataFrame:
-    """(doc_id, node, w0 .. w3, n, prefix, o0 .. o3) of every row: a hash of its set of shingles, its sketch; the set's size, prefix and parities."""
+    """(doc_id, node, w0 .. w3, n, prefix, odd) of every row: a hash of its set of shingles, its sketch; the set's size, prefix and parities."""
     words, common = TABLES * WIDTH // 64, common_shingles(docs, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,11 +410,11 @@ def sketches(docs: DataFrame, size: int = 5, share: int = 800) -> DataFrame:
                 node = np.array([h(x.tobytes()) for x in sets], np.uint64)
                 cols = [majority(remixed(hashes, k), off).view(np.int64) for k in range(words)]
                 first = pa.array([prefix_of(x, common, share).view(np.int64) for x in sets], pa.list_(pa.int64()))
-                odd = np.array([parities(x) for x in sets], np.int64).reshape(-1, 4)
-                every = [part.column(0), pa.array(node.view(np.int64)), *map(pa.array, cols), pa.array([len(x) for x in sets], pa.int64()), first, *(pa.array(odd[:, k]) for k in range(4))]
-                yield pa.record_batch(every, names=["doc_id", "node", *(f"w{k}" for k in range(words)), "n", "prefix", *ODD])
+                odd = pa.array([parities(x) for x in sets], pa.list_(pa.int64()))
+                every = [part.column(0), pa.array(node.view(np.int64)), *map(pa.array, cols), pa.array([len(x) for x in sets], pa.int64()), first, odd]
+                yield pa.record_batch(every, names=["doc_id", "node", *(f"w{k}" for k in range(words)), "n", "prefix", "odd"])
 
-    out = "doc_id long, node long, " + ", ".join(f"w{k} long" for k in range(words)) + ", n long, prefix array<long>, " + ", ".join(f"{o} long" for o in ODD)
+    out = "doc_id long, node long, " + ", ".join(f"w{k} long" for k in range(words)) + ", n long, prefix array<long>, odd array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, out)
 
 
@@ -471,10 +485,9 @@ def candidate_links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, c
 
 
 def prefix_candidates(rows: DataFrame, part: int) -> DataFrame:
-    """(u, v), u < v: nodes of ``rows`` (node, component_id, n, prefix, o0 .. o3) in different components that may be similar.
+    """(u, v), u < v: nodes of ``rows`` (node, component_id, n, prefix) in different components that may be similar.
 
-    They share a shingle of their prefixes, are alike in size, could still have enough in common after that shingle, and
-    their parities differ in no more bits than the sets may in members.  Shingles within one component are dropped; of
+    They share a shingle of their prefixes, are alike in size, and could still have enough in common after that shingle.  Shingles within one component are dropped; of
     the others, the rows outside the component that is most frequent under the shingle meet all rows.
     """
     each = rows.select("node", F.col("component_id").alias("c"), "n", F.posexplode("prefix").alias("at", "h")).repartition("h")
@@ -485,15 +498,29 @@ def prefix_candidates(rows: DataFrame, part: int) -> DataFrame:
     a = mixed.join(main, "h").where("c <> main").select("h", *[F.col(x).alias(f"{x}_a") for x in ("node", "c", "n", "at")])
     b = mixed.select("h", *[F.col(x).alias(f"{x}_b") for x in ("node", "c", "n", "at")])
     fits = f"c_a <> c_b AND 1000 * n_a >= {part} * n_b AND 1000 * n_b >= {part} * n_a AND {1000 + part} * least(n_a - at_a, n_b - at_b) >= {part} * (n_a + n_b)"
-    pairs = a.join(b, "h").where(fits).select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
-    u, v = (rows.select(F.col("node").alias(x), *[F.col(o).alias(f"{o}_{x}") for o in ("n", *ODD)]) for x in ("u", "v"))
-    apart = sum((F.bit_count(F.col(f"{o}_u").bitwiseXOR(F.col(f"{o}_v"))) for o in ODD), F.lit(0))
-    return pairs.join(u, "u").join(v, "v").where(apart * (1000 + part) <= (1000 - part) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
+    return a.join(b, "h").where(fits).select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
+
+
+def not_too_far(pairs: DataFrame, rows: DataFrame, part: int) -> DataFrame:
+    """The pairs (u, v: nodes of ``rows`` (node, n, odd)) alike in size whose parities differ in no more bits than the sets may in members."""
+    u, v = (rows.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("odd").alias(f"odd_{x}")) for x in ("u", "v"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            most = (1000 - part) * (b.column(2).to_numpy() + b.column(3).to_numpy())
+            odd = [(x.values.to_numpy(), x.offsets.to_numpy()) for x in (b.column(4), b.column(5))]
+            of = lambda k, i: odd[k][0][odd[k][1][i] : odd[k][1][i + 1]]
+            near = [parities_apart(of(0, i), of(1, i)) * (1000 + part) <= most[i] for i in range(b.num_rows)]
+            yield b.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    both = pairs.join(u, "u").join(v, "v").where(f"1000 * n_u >= {part} * n_v AND 1000 * n_v >= {part} * n_u")
+    return both.select("u", "v", "n_u", "n_v", "odd_u", "odd_v").mapInArrow(run, "u long, v long")
 
 
 def verified(near: DataFrame, docs: DataFrame, size: int, part: int) -> DataFrame:
     """The pairs of ``near`` (u, v: doc_id of ``docs``) whose sets of shingles have ``part`` thousandths or more in common."""
     needed = near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    needed = F.broadcast(needed) if near.count() <= SENT else needed
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id", "left_semi")
     sets = stored(shingle_sets(texts.withColumnRenamed("doc_id", "node"), size), "sets")
     left, right = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}")) for c in ("u", "v"))
@@ -513,11 +540,13 @@ def similar_groups(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFr
     # equal sets are one node, named by its smallest row: then a component's smallest node is its smallest row
     reps = marked.groupBy("node").agg(F.min(F.struct("doc_id", *words)).alias("x"))
     reps = stored(reps.select(F.col("node").alias("set"), F.col("x.doc_id").alias("node"), *[f"x.{w}" for w in words]), "reps")
+    facts = marked.select(F.col("doc_id").alias("node"), "n", "odd")
     near = stored(candidate_links(reps.select("node", *words)), "candidates")
-    true = verified(near, docs, size, part)
+    true = verified(stored(not_too_far(near, facts, part), "candidates"), docs, size, part)
     of = reps.select("set", "node").join(components(true), "node", "left").select("set", "node", F.coalesce("root", "node").alias("component_id"))
-    rows = of.join(marked.select(F.col("doc_id").alias("node"), "n", "prefix", *ODD), "node").where("n > 0")
-    more = verified(stored(prefix_candidates(rows, part), "candidates"), docs, size, part)
+    rows = of.join(marked.select(F.col("doc_id").alias("node"), "n", "prefix"), "node").where("n > 0")
+    more = stored(prefix_candidates(rows, part), "candidates")
+    more = verified(stored(not_too_far(more, facts, part), "candidates"), docs, size, part)
     rooted = reps.select("set", "node").join(components(true.union(more)), "node", "left").select(F.col("set").alias("node"), F.coalesce("root", "node").alias("component_id"))
     return marked.select("doc_id", "node").join(rooted, "node").select("doc_id", "component_id")
 

@@ -699,3 +699,33 @@ def test_links_that_sketches_miss(spark):
     got = {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()}
     want = {i: i // 2 * 2 if i < 600 else 600 for i in range(len(texts))}
     assert got == want
+
+
+def test_parities_grow_with_the_set():
+    """No more bits differ than members, at the length of the shorter; sets at 0.75 are told from those at 0.8 whatever their size."""
+    rng = np.random.default_rng(5)
+    for n in (3, 100, 257, 5_000, 40_000):
+        h = rng.integers(0, 1 << 63, 2 * n).astype(np.uint64)
+        for a, b in ((h[:n], h[n // 9 : n + n // 9]), (h[:n], h[n // 7 : n + n // 7]), (h[:n], h[n // 2 :]), (h[:n], h[: n + n // 5]), (h, h[:3])):
+            got = simhash.parities_apart(simhash.parities(a), simhash.parities(b))
+            assert got == simhash.parities_apart(simhash.parities(b), simhash.parities(a)) <= len(np.setxor1d(a, b))
+        if n >= 257:
+            assert simhash.parities_apart(simhash.parities(h[:n]), simhash.parities(h[n // 7 : n + n // 7])) * 1800 > 200 * 2 * n
+
+
+def test_long_texts_with_a_common_passage_are_not_compared(spark, monkeypatch):
+    """Texts of 1,500 words with 300 in common, and two alike: only these two come to the comparison of whole sets."""
+    rng, seen, check = random.Random(8), [], simhash.verified
+    words = lambda n: ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(n)]
+    passage = words(300)
+    texts = [" ".join(words(600) + passage + words(600)) for _ in range(12)]
+    texts.append(" ".join(texts[0].split()[:1400]))
+
+    def watched(near, *args):
+        seen.extend((r.u, r.v) for r in near.collect())
+        return check(near, *args)
+
+    monkeypatch.setattr(simhash, "verified", watched)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == {i: i % 12 for i in range(13)}
+    assert set(seen) == {(0, 12)}
