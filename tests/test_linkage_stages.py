@@ -457,3 +457,17 @@ def test_similar_pairs_of_copies(spark):
     want = {(a, b) for a, (c, x) in words.items() for b, (d, y) in words.items() if a[:2] == "S1" and b[:2] != "S1" and c == d and x and y and len(x & y) >= 0.7 * len(x | y)}
     got = [tuple(r) for r in blocking.similar_pairs(norm).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_parity_pairs_in_blocks_and_of_all_sizes(spark):
+    """Sets of 1 to 3,000 words at and about 0.7, in blocks of 5: all pairs, also those of an id with two texts."""
+    rng, rows = random.Random(12), [("S1-1", "fr", "alpha beta gamma", ""), ("S1-1", "fr", "delta epsilon zeta", ""), ("S2-9", "fr", "gamma beta alpha", ""), ("S3-9", "fr", "zeta delta epsilon", "")]
+    for k, n in enumerate([1, 2, 3, 10, 17, 40, 500, 511, 513, 700, 1000, 3000] * 3):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        for j, share in enumerate((1.0, 0.9, 0.7, 0.69)):
+            rows.append((f"S{rng.choice([1, 1, 2, 3])}-{10 + 4 * k + j}", rng.choice(["fr", "fr", "de"]), " ".join(base[: max(1, round(n * share))]), "x" if j else ""))
+    norm = spark.createDataFrame(rows, "entity_id string, country_n string, name_n string, addr_n string")
+    sets = [(i, c, set(f"{a} {b}".split())) for i, c, a, b in rows]
+    want = {(i, k) for i, c, x in sets for k, d, y in sets if i < "S2" <= k and c == d and len(x & y) >= 0.7 * len(x | y)}
+    got = [tuple(r) for r in blocking.similar_pairs(norm, block=5).collect()]
+    assert len(got) == len(set(got)) > 20 and set(got) == want
