@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import dropped, slices, stored, texts_of
+from .shared import dropped, partitions, slices, stored, texts_of
 
 BUDGET = 3
 #: Fingerprints that a group should hold if they are spread evenly, and above which it is taken further down.
@@ -49,6 +49,8 @@ TABLES, WIDTH, FAR = 8, 32, 58
 NEAR = 24
 #: Rows that the order of prefixes is taken from, and common shingles in it at most.
 ORDER_ROWS, ORDER_MOST = 1 << 13, 50_000
+#: Rows of each side of a shingle that meet in one task at most, and pairs that a task holds at once.
+BLOCK, PAIRS = 1 << 13, 1 << 20
 #: Pairs up to which the ids whose texts are needed go to all tasks; beyond that the texts are shuffled.
 SENT = 1 << 20
 
@@ -484,21 +486,80 @@ def candidate_links(reps: DataFrame, budget: int = BUDGET, group: int = GROUP, c
     return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
 
 
-def prefix_candidates(rows: DataFrame, part: int) -> DataFrame:
-    """(u, v), u < v: nodes of ``rows`` (node, component_id, n, prefix) in different components that may be similar.
+def _folded(odd: pa.ListArray) -> np.ndarray:
+    """The parities of each row at 256 bits, a row of four words each."""
+    size = np.diff(odd.offsets.to_numpy())
+    return np.stack([np.bitwise_xor.reduceat(x, np.cumsum(size // 4) - size // 4) for x in odd.flatten().to_numpy().view(np.uint64).reshape(-1, 4).T], axis=1)
+
+
+def folded_parities(rows: DataFrame) -> DataFrame:
+    """(node, o0 .. o3): the parities ``odd`` of each row at 256 bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (b for b in batches if b.num_rows):
+            yield pa.record_batch([b.column(0), *map(pa.array, _folded(b.column(1)).view(np.int64).T)], names=["node", "o0", "o1", "o2", "o3"])
+
+    return rows.select("node", "odd").mapInArrow(run, "node long, o0 long, o1 long, o2 long, o3 long")
+
+
+def met(table: pa.Table, part: int) -> pa.Table:
+    """(u, v) of the pairs under each shingle and pair of blocks (h, a, b) that may be similar: in different components, alike in
+    size, with enough in common after the shingle, parities near enough, and not known to share an earlier shingle."""
+    col = {c: table.column(c).combine_chunks() for c in table.column_names}
+    of = lambda c: (col[c].fill_null(0) if col[c].null_count else col[c]).to_numpy(zero_copy_only=False)
+    order = np.lexsort((of("b"), of("a"), of("h")))
+    h, a, b, node, c, n, at = (of(x)[order] for x in ("h", "a", "b", "node", "c", "n", "at"))
+    odd = np.stack([of(f"o{k}")[order].view(np.uint64) for k in range(4)], axis=1)
+    seen = [(of(x)[order], col[x].is_valid().to_numpy(zero_copy_only=False)[order]) for x in ("p1", "p2")]
+    run = np.cumsum(np.concatenate([[0], (h[1:] != h[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    left, right = np.flatnonzero(of("out")[order] & (of("own_a")[order] == a)), np.flatnonzero(of("own_b")[order] == b)
+    first, last = np.searchsorted(run[right], run[left]), np.searchsorted(run[right], run[left], "right")
+    ends, found, k = np.cumsum(last - first), [np.empty((0, 2), np.int64)], 0
+    while k < len(left):
+        to = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + PAIRS, "right")))
+        many = (last - first)[k:to]
+        i = np.repeat(left[k:to], many)
+        j = right[np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[k:to], many)]
+        k = to
+        for ok in (
+            lambda i, j: c[i] != c[j],
+            lambda i, j: (1000 * n[i] >= part * n[j]) & (1000 * n[j] >= part * n[i]),
+            lambda i, j: (1000 + part) * np.minimum(n[i] - at[i], n[j] - at[j]) >= part * (n[i] + n[j]),
+            lambda i, j: np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1, dtype=np.int64) * (1000 + part) <= (1000 - part) * (n[i] + n[j]),
+            lambda i, j: ~np.any([(x[i] == y[j]) & xs[i] & ys[j] for x, xs in seen for y, ys in seen], axis=0),
+        ):
+            keep = ok(i, j)
+            i, j = i[keep], j[keep]
+        found.append(np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], axis=1), axis=0))
+    u, v = np.unique(np.concatenate(found), axis=0).T
+    return pa.table({"u": u, "v": v})
+
+
+def prefix_candidates(rows: DataFrame, part: int, block: int = BLOCK) -> DataFrame:
+    """(u, v), u < v: nodes of ``rows`` (node, component_id, n, prefix, odd) in different components that may be similar.
 
     They share a shingle of their prefixes, are alike in size, and could still have enough in common after that shingle.  Shingles within one component are dropped; of
-    the others, the rows outside the component that is most frequent under the shingle meet all rows.
+    the others, the rows outside the component that is most frequent under the shingle meet all rows.  They meet inside tasks
+    that hold many shingles each, where parities of 256 bits tell most pairs apart at once, so the rows that come out are
+    few; a pair comes out at its first shingle, not at each.  Both sides of a frequent shingle are cut into blocks of
+    ``block`` rows, each pair of blocks for itself.
     """
     each = rows.select("node", F.col("component_id").alias("c"), "n", F.posexplode("prefix").alias("at", "h")).repartition("h")
-    by_h = Window.partitionBy("h")
+    by_h, by_node = Window.partitionBy("h"), Window.partitionBy("node").orderBy("at")
     mixed = each.withColumns({"low": F.min("c").over(by_h), "high": F.max("c").over(by_h)}).where("low <> high").select("h", "node", "c", "n", "at")
     mixed = stored(mixed, "mixed")
-    main = mixed.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max(F.struct("k", "c"))["c"].alias("main"))
-    a = mixed.join(main, "h").where("c <> main").select("h", *[F.col(x).alias(f"{x}_a") for x in ("node", "c", "n", "at")])
-    b = mixed.select("h", *[F.col(x).alias(f"{x}_b") for x in ("node", "c", "n", "at")])
-    fits = f"c_a <> c_b AND 1000 * n_a >= {part} * n_b AND 1000 * n_b >= {part} * n_a AND {1000 + part} * least(n_a - at_a, n_b - at_b) >= {part} * (n_a + n_b)"
-    return a.join(b, "h").where(fits).select(F.least("node_a", "node_b").alias("u"), F.greatest("node_a", "node_b").alias("v")).distinct()
+    main = mixed.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max(F.struct("k", "c")).alias("main"), F.sum("k").alias("all"))
+    blocks = lambda k: F.ceil(k / F.lit(block)).cast("int")
+    sizes = main.select("h", F.col("main.c").alias("main"), blocks(F.col("all") - F.col("main.k")).alias("of_a"), blocks(F.col("all")).alias("of_b"))
+    own = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+    each = mixed.join(sizes, "h").withColumns({"out": F.col("c") != F.col("main"), "own_a": own("of_a"), "own_b": own("of_b")})
+    each = each.withColumns({"p1": F.lag("h", 1).over(by_node), "p2": F.lag("h", 2).over(by_node)}).join(folded_parities(rows), "node")
+    every = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
+    lefts = F.when(F.col("out"), F.transform(every("of_b"), lambda b: F.struct(F.col("own_a").alias("a"), b.alias("b")))).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
+    places = F.array_union(lefts, F.transform(every("of_a"), lambda a: F.struct(a.alias("a"), F.col("own_b").alias("b"))))
+    dealt = each.withColumn("x", F.explode(places)).select("h", "node", "c", "n", "at", "out", "own_a", "own_b", "p1", "p2", "o0", "o1", "o2", "o3", "x.a", "x.b")
+    tasks = F.pmod(F.xxhash64("h", "a", "b"), F.lit(max(4 * partitions(rows.sparkSession), mixed.count() >> 16))).alias("task")
+    return dealt.groupBy(tasks).applyInArrow(lambda table: met(table, part), "u long, v long").distinct()
 
 
 def not_too_far(pairs: DataFrame, rows: DataFrame, part: int) -> DataFrame:
@@ -544,7 +605,7 @@ def similar_groups(docs: DataFrame, size: int = 5, share: float = 0.8) -> DataFr
     near = stored(candidate_links(reps.select("node", *words)), "candidates")
     true = verified(stored(not_too_far(near, facts, part), "candidates"), docs, size, part)
     of = reps.select("set", "node").join(components(true), "node", "left").select("set", "node", F.coalesce("root", "node").alias("component_id"))
-    rows = of.join(marked.select(F.col("doc_id").alias("node"), "n", "prefix"), "node").where("n > 0")
+    rows = of.join(marked.select(F.col("doc_id").alias("node"), "n", "prefix", "odd"), "node").where("n > 0")
     more = stored(prefix_candidates(rows, part), "candidates")
     more = verified(stored(not_too_far(more, facts, part), "candidates"), docs, size, part)
     rooted = reps.select("set", "node").join(components(true.union(more)), "node", "left").select(F.col("set").alias("node"), F.coalesce("root", "node").alias("component_id"))

@@ -729,3 +729,22 @@ def test_long_texts_with_a_common_passage_are_not_compared(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in simhash.similar_groups(df).collect()} == {i: i % 12 for i in range(13)}
     assert set(seen) == {(0, 12)}
+
+
+@pytest.mark.parametrize("block", [1 << 13, 7])
+def test_texts_that_share_a_passage_do_not_come_out_in_pairs(spark, block):
+    """Of sets that share most of their prefixes, the similar pairs come out and few others, whatever the blocks."""
+    rng = np.random.default_rng(12)
+    shared = rng.integers(0, 2**60, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 2**62, 30, dtype=np.uint64)])) for _ in range(70)]
+    for k in range(10):  # some that are similar: up to 12 of about 90 replaced
+        own = np.setdiff1d(sets[k], shared)
+        sets.append(np.unique(np.concatenate([np.setdiff1d(sets[k], own[: k + 2]), rng.integers(0, 2**62, k + 2, dtype=np.uint64)])))
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    rows = [(i, i % 37, len(x), simhash.prefix_of(x, none, 800).view(np.int64).tolist(), simhash.parities(x).tolist()) for i, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "node long, component_id long, n long, prefix array<long>, odd array<long>").repartition(3)
+    got = [(r.u, r.v) for r in simhash.prefix_candidates(df, 800, *([block] if block < 1 << 13 else [])).collect()]
+    jaccard = lambda i, j: len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j]))
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if i % 37 != j % 37 and 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))}
+    assert len(got) == len(set(got)) and want <= set(got) and len(want) >= 8
+    assert len(got) <= len(want) + 20 and all(jaccard(i, j) > 0.6 for i, j in got)
