@@ -471,3 +471,34 @@ def test_parity_pairs_in_blocks_and_of_all_sizes(spark):
     want = {(i, k) for i, c, x in sets for k, d, y in sets if i < "S2" <= k and c == d and len(x & y) >= 0.7 * len(x | y)}
     got = [tuple(r) for r in blocking.similar_pairs(norm, block=5).collect()]
     assert len(got) == len(set(got)) > 20 and set(got) == want
+
+
+@pytest.mark.parametrize("sides", [(1 << 14, 1 << 17), (23, 31)])
+def test_crowds_of_candidates_are_counted_and_not_written(spark, tmp_path, sides):
+    """Counts and contested records by plain candidates, while no table that is written has a row for each candidate."""
+    from recordloom.plans import catalogue
+
+    rng = random.Random(8)
+    vocab = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(400)]
+    names = ["same name of many a record"] * 150 + [" ".join(rng.choices(vocab, k=6)) for _ in range(60)]
+    rows = [(i, f"{x} {' '.join(rng.choices(vocab, k=rng.choice([0, 3, 30])))}", rng.choice(["en", "en", "fr"])) for i, x in enumerate(names)]
+    rows += [(i + 300, t + " more", c) for i, t, c in rows[::5]] + [(3, rows[4][1], "fr"), (3, rows[3][1], "en"), (None, rows[7][1], "en"), (7, rows[8][1], "fr")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    norm, written = catalogue._norm(spark, str(tmp_path)), []
+
+    def store(df):
+        out = stages.stored(df)
+        written.append(out.count())
+        return out
+
+    keys, scored = stages.stored(blocking.blocking_keys(norm)), [tuple(r) for r in catalogue._scored(norm).collect()]
+    counts, kids = blocking.candidate_counts(keys, norm, store, sides=sides)
+    pairs = {(a, b) for a, b, _ in scored}
+    want = {a: (sum(x == a for x, _ in pairs), sum(x == a for x, _, _ in scored)) for a, _ in pairs}
+    assert {r.s1_id: (r.n, r.n_rows) for r in counts.collect()} == want
+    own = {r.entity_id: set(r.kids) for r in kids.collect()}
+    assert {(a, b) for a in own for b in own if a[:2] == "S1" != b[:2] and own[a] & own[b]} == pairs
+    got = [tuple(r) for r in blocking.owners_from(keys, norm, 0.3, catalogue._with_p, store, sides=sides).collect()]
+    owners = lambda x: {b: min(2, len({a for a, c, p in x if c == b and p >= 0.3})) for _, b, p in x if p >= 0.3}
+    assert owners(got) == owners(scored) and {(a, b) for a, b, _ in got} <= pairs
+    assert max(written) < len(pairs) / 2
