@@ -27,10 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import slices, stored, texts_of
+from .shared import CHARS, slices, stored, texts_of, trimmed
 from .words import encoder
 
 CAPACITY = 2048
+#: Words whose ids a worker keeps.
+WORDS = 120_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
@@ -38,11 +40,11 @@ def cut_pieces(docs: DataFrame, path: str, end_id: int = 0, capacity: int = CAPA
     """One row per piece of each tokenised document; ``nth`` numbers the pieces of one length within a task."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, "word")
+        enc = encoder(path, "word", WORDS)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
         seen = np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 flat, off = enc.encode(texts_of(part))
                 ids = part.column(0).to_pylist()
                 rows = []

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Where intermediate tables go only if the session names no checkpoint folder and runs in one process (as in tests).
 FALLBACK_DIR = "/tmp/recordloom-checkpoints"
+#: Rows of a batch that goes to a Python worker; characters of texts that it lays out at once where memory is short.
+ROWS, CHARS = 2_000, 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -77,6 +81,29 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session sends Python workers at most ``ROWS`` rows at once: a batch of texts lies in the executor's
+    direct memory and, twice over, in the worker's."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ROWS:
+        spark.conf.set(key, ROWS)
+
+
+@lru_cache(None)
+def _trim():
+    """glibc's malloc_trim, where there is one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; what a batch's work has freed goes back to the system, not to a worker's heap."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+        _trim()(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", chars: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``chars`` bytes of text (one longer text makes a run of its own)."""
     import pyarrow.compute as pc

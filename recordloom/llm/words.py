@@ -270,9 +270,9 @@ class WordEncoder:
 _ENCODERS: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> WordEncoder:
+def encoder(path: str, kind: str, most: int = 300_000) -> WordEncoder:
     """This worker process's encoder: its cache serves all tasks that the process runs."""
-    key = (path, kind)
+    key = (path, kind, most)
     if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, kind)
+        _ENCODERS[key] = WordEncoder(path, kind, most=most)
     return _ENCODERS[key]
