@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, texts_of
+from .shared import CHARS, slices, texts_of, trimmed
 from .toxicity import one_text
 from .words import END, LETTER, NUMBER, SPACE, class_table, code_points, token_array
 
@@ -165,8 +165,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict | None
     marks = trusted.withColumn("p", F.lit(1)).join(some.withColumn("u", F.lit(1)), "doc_id", "full")  # at most 2 * sample rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 rows = pa.array(list(figures(texts_of(part))), pa.list_(pa.float64()))
                 yield pa.record_batch([part.column(0), part.column(2), part.column(3), rows], names=["doc_id", "p", "u", "x"])
 
@@ -195,8 +195,8 @@ def score(docs: DataFrame, model: dict | None, threshold: float = 0.3) -> DataFr
         net = Net(FIGURES, 1, np.random.default_rng(0))
         if model:
             net.w = model["w"]
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 if model:
                     s = _sigmoid(net.out(np.clip((figures(texts_of(part)) - model["mean"]) / model["dev"], -6, 6))[0])
                 else:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import dropped, partitions, slices, stored, texts_of
+from .shared import CHARS, dropped, partitions, slices, stored, texts_of, trimmed
 
 BUDGET = 3
 #: Fingerprints that a group should hold if they are spread evenly, and above which it is taken further down.
@@ -112,8 +112,8 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     """(doc_id, fp long) of every row of ``docs`` (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 fp = majority(*shingle_hashes(texts_of(part), size))
                 yield pa.record_batch([part.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
@@ -357,8 +357,8 @@ def common_shingles(docs: DataFrame, size: int = 5) -> tuple[np.ndarray, np.ndar
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, chars=1_000_000):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 hashes, off = shingle_hashes(texts_of(part), size)
                 sets = [np.unique(hashes[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 yield pa.record_batch([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], names=["h"])
@@ -405,8 +405,8 @@ def sketches(docs: DataFrame, size: int = 5, share: int = 800) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as h
 
-        for batch in batches:
-            for part in slices(batch, chars=1_000_000):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 hashes, off = shingle_hashes(texts_of(part), size)
                 sets = [np.unique(hashes[a:b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 node = np.array([h(x.tobytes()) for x in sets], np.uint64)
@@ -424,8 +424,8 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     """(node, shingles): the distinct shingle hashes of each row of ``docs`` (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, chars=1_000_000):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 hashes, off = shingle_hashes(texts_of(part), size)
                 sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
                 yield pa.record_batch([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])

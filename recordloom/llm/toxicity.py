@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, stored, texts_of
+from .shared import CHARS, slices, stored, texts_of, trimmed
 from .words import END, SPACE, class_table, code_points, token_array
 
 SAMPLE = 12_000
@@ -51,6 +51,8 @@ RUN, DOUBLE = re.compile(r"(.)\1\1+"), re.compile(r"(.)\1")
 GLUE = re.compile(rf"[^{ALPHABET}{re.escape(''.join(LOOKS))}]+")
 #: Longer tokens are also parted into words, and not kept in memory.
 LONG = 40
+#: Tokens whose features a task keeps, and features that it counts before it sends them on.
+WORDS, HELD = 100_000, 150_000
 
 
 def _codes() -> np.ndarray:
@@ -67,8 +69,8 @@ def trigram_counts(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, total = _codes(), np.zeros(1 << 18, np.int64)
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 c = table[code_points(texts_of(part))[0]]
                 if len(c) > 2:
                     total += np.bincount(c[:-2] << 12 | c[1:-1] << 6 | c[2:], minlength=1 << 18)
@@ -131,7 +133,7 @@ class Channel:
     def decoded(self, token: str, bounds: bool = False) -> str:
         if len(token) > LONG:
             return self.decode(token, bounds)
-        if len(self.cache) > 100_000:
+        if len(self.cache) > WORDS // 3:
             self.cache.clear()
         key = (token, bounds)
         if key not in self.cache:
@@ -187,7 +189,7 @@ class Reader:
     def of_token(self, token: str) -> tuple:
         got = self.cache.get(token)
         if got is None:
-            if len(self.cache) > 300_000:
+            if len(self.cache) > WORDS:
                 self.cache.clear()
             got = self.picked(self.channel.restore(token))
             if len(token) <= LONG:
@@ -257,12 +259,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(counts, lambda f: f)
         bad, good = Counter(), Counter()
-        for batch in batches:
-            for part in slices(batch):
+
+        def counted() -> pa.RecordBatch:
+            names = list(bad.keys() | good.keys())
+            out = pa.record_batch([pa.array(names, pa.string()), pa.array([bad[x] for x in names], pa.int64()), pa.array([good[x] for x in names], pa.int64())], names=["f", "bad", "good"])
+            bad.clear()
+            good.clear()
+            return out
+
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 for y, found in zip(part.column(2).to_pylist(), reader.read(texts_of(part)), strict=True):
                     (bad if y else good).update(found)
-        names = list(bad.keys() | good.keys())
-        yield pa.record_batch([pa.array(names, pa.string()), pa.array([bad[x] for x in names], pa.int64()), pa.array([good[x] for x in names], pa.int64())], names=["f", "bad", "good"])
+                if len(bad) + len(good) > HELD:
+                    yield counted()
+        yield counted()
 
     total = own.mapInArrow(tally, "f string, bad long, good long").groupBy("f").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     able = total.where(f"bad >= {LEAST} AND bad >= {PRECISION} * (bad + good)")
@@ -270,8 +281,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
 
     def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(counts, lexicon_picker(odds))
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 found = [sorted(f for f in x if f in odds) for x in reader.read(texts_of(part))]
                 yield pa.record_batch([part.column(2), pa.array(found, pa.list_(pa.string()))], names=["y", "found"])
 
@@ -309,8 +320,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         weights = Reader(m["counts"], lexicon_picker(m["lexicon"]))
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 found = weights.read(texts_of(part))
                 if m["prior"] is None:
                     s = np.zeros(len(found))

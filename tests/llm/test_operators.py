@@ -748,3 +748,28 @@ def test_texts_that_share_a_passage_do_not_come_out_in_pairs(spark, block):
     want = {(i, j) for j in range(len(sets)) for i in range(j) if i % 37 != j % 37 and 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))}
     assert len(got) == len(set(got)) and want <= set(got) and len(want) >= 8
     assert len(got) <= len(want) + 20 and all(jaccard(i, j) > 0.6 for i, j in got)
+
+
+def test_workers_hold_little(spark, tmp_path, monkeypatch):
+    """Batches of texts are small while the stages of the pipeline run, and features are sent on in parts with the same model."""
+    import corpus_pipeline
+    from recordloom.llm import shared, toxicity
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choices(["bad", "worse", "vile"] if i % 3 == 0 else ["good", "fine", "kind"], k=4) + [f"w{chr(97 + i % 26)}x"])) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 1) for i in range(200)], "doc_id long, toxic int, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    before = spark.conf.get(key)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, 10_000)
+            stage(spark, docs, str(tmp_path))
+            assert int(spark.conf.get(key)) == shared.ROWS
+    finally:
+        spark.conf.set(key, before)
+    whole = toxicity.fit(docs, labels)
+    monkeypatch.setattr(toxicity, "HELD", 3)
+    parts = toxicity.fit(docs, labels)
+    assert whole["lexicon"] and whole["lexicon"] == parts["lexicon"] and whole["prior"] == parts["prior"]
