@@ -502,3 +502,34 @@ def test_crowds_of_candidates_are_counted_and_not_written(spark, tmp_path, sides
     owners = lambda x: {b: min(2, len({a for a, c, p in x if c == b and p >= 0.3})) for _, b, p in x if p >= 0.3}
     assert owners(got) == owners(scored) and {(a, b) for a, b, _ in got} <= pairs
     assert max(written) < len(pairs) / 2
+
+
+@pytest.mark.parametrize("sides", [(1 << 16, 1 << 15), (20, 30)])
+@pytest.mark.parametrize(("floor", "most", "by"), [(0.0, 7, "s1_id"), (0.5, 7, "s1_id"), (0.5, 1, "cand_id")])
+def test_best_of_candidates_scored_in_blocks(spark, tmp_path, sides, floor, most, by):
+    """The best pairs by windows over all scored candidates, while no table that is written has a row for each candidate."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from recordloom.plans import catalogue
+
+    rng = random.Random(9)
+    vocab = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}x" for k in range(400)]
+    names = ["same name of many a record"] * 150 + [" ".join(rng.choices(vocab, k=6)) for _ in range(60)]
+    rows = [(i, f"{x} {' '.join(rng.choices(vocab, k=rng.choice([0, 3, 30])))}", rng.choice(["en", "en", "fr"])) for i, x in enumerate(names)]
+    rows += [(i + 300, t + " more", c) for i, t, c in rows[::5]] + [(3, rows[4][1], "fr"), (3, rows[3][1], "en"), (None, rows[7][1], "en"), (7, rows[8][1], "fr"), (900, rows[9][1], "xx")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    norm, written = catalogue._norm(spark, str(tmp_path)), []
+
+    def store(df):
+        out = stages.stored(df)
+        written.append(out.count())
+        return out
+
+    scored = catalogue._scored(norm).where(F.col("p") >= floor)
+    w = Window.partitionBy(by).orderBy(F.col("p").desc(), "cand_id" if by == "s1_id" else "s1_id")
+    want = scored.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= most)
+    got = blocking.best_from(stages.stored(blocking.blocking_keys(norm)), norm, floor, most, by, store, sides=sides)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+    if sides[0] > len(rows):
+        assert max(written) < scored.count() / 2
