@@ -86,6 +86,7 @@ class Channel:
     def __init__(self, counts: np.ndarray):
         cube = counts.reshape(64, 64, 64).astype(float) + 0.01
         self.log = np.log(cube / cube.sum(axis=2, keepdims=True))
+        self.flat = self.log.ravel().tolist()  # of a, b, k at a << 12 | b << 6 | k: a list is read faster one by one
         self.cache: dict[tuple[str, bool], str] = {}
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
@@ -107,24 +108,25 @@ class Channel:
 
     def decode(self, token: str, bounds: bool = False) -> str:
         """The likeliest letters; with ``bounds`` words may end anywhere, and blanks part them."""
-        paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}  # back pointers, so that cost is linear
+        log = self.flat
+        paths: dict[int, tuple[float, tuple]] = {0: (0.0, ())}  # by a << 6 | b, the last two letters; back pointers, so that cost is linear
         for options in self.lattice(token):
-            nxt: dict[tuple[int, int], tuple[float, tuple]] = {}
-            for (a, b), (score, back) in paths.items():
-                starts = [(score, a, b, "")]
-                if bounds and b:
-                    starts.append((score + self.log[a, b, 0], b, 0, " "))
-                for first, p, q, blank in starts:
+            nxt: dict[int, tuple[float, tuple]] = {}
+            for ab, (score, back) in paths.items():
+                starts = [(score, ab, "")]
+                if bounds and ab & 63:
+                    starts.append((score + log[ab << 6], (ab & 63) << 6, " "))
+                for first, pq, blank in starts:
                     for letters, cost in options:
-                        s, x, y = first - cost, p, q
+                        s, xy = first - cost, pq
                         for c in letters:
-                            k = CODE[c]
-                            s += self.log[x, y, k]
-                            x, y = y, k
-                        if (x, y) not in nxt or nxt[x, y][0] < s:
-                            nxt[x, y] = (s, (back, blank + letters))
+                            xyk = xy << 6 | CODE[c]
+                            s += log[xyk]
+                            xy = xyk & 4095
+                        if xy not in nxt or nxt[xy][0] < s:
+                            nxt[xy] = (s, (back, blank + letters))
             paths = nxt
-        back, out = max(((s + self.log[a, b, 0], t) for (a, b), (s, t) in paths.items()), key=lambda x: x[0])[1], []
+        back, out = max(((s + log[ab << 6], t) for ab, (s, t) in paths.items()), key=lambda x: x[0])[1], []
         while back:
             back, letters = back
             out.append(letters)
@@ -142,8 +144,9 @@ class Channel:
 
     def restore(self, token: str) -> tuple[str, ...]:
         """The words of a lower-case token."""
-        core = EDGES.sub("", token)
-        if PLAIN.fullmatch(core) and not DOUBLE.search(core):
+        plain = token.isascii() and token.isalpha() and token.islower()  # a word as it stands
+        core = token if plain else EDGES.sub("", token)
+        if (plain or PLAIN.fullmatch(core)) and not DOUBLE.search(core):
             return (core,) if len(core) <= LONG else (core, *self.decoded(core, True).split())
         words = (core,) if PLAIN.fullmatch(core) and not RUN.search(core) else tuple(w for w in re.findall(rf"[{ALPHABET}]+", token) if len(w) > 1)
         bare = core or token
@@ -169,20 +172,33 @@ def features(word: str) -> list[str]:
     return [word, *(f"^{word[:n]}" for n in range(4, 8) if len(word) > n)]
 
 
-def lexicon_picker(entries):
+class lexicon_picker:
     """What to read for a lexicon: its entries, and the beginnings that its entries count."""
-    wanted = set(entries) | {f[f.index("^") :] for f in entries if "^" in f}
-    return lambda f: f if f in wanted else None
+
+    def __init__(self, entries):
+        self.wanted = set(entries) | {f[f.index("^") :] for f in entries if "^" in f}
+        self.heads = {f[1:5] for f in self.wanted if f[0] == "^"}  # no longer beginning is wanted of a word that begins otherwise
+
+    def __call__(self, f: str) -> str | None:
+        return f if f in self.wanted else None
+
+    def some(self, word: str) -> bool:
+        """Whether any of the word's features may be wanted."""
+        return word in self.wanted or word[:4] in self.heads
 
 
 class Reader:
     """Distinct restored features of texts; ``pick`` maps a feature to what is kept of it (None: nothing)."""
 
     def __init__(self, counts: np.ndarray, pick):
-        self.channel, self.pick = Channel(counts), pick
+        self.channel, self.pick, self.some = Channel(counts), pick, getattr(pick, "some", None)
         self.cache: dict[str, tuple] = {}
 
     def picked(self, words: tuple[str, ...]) -> tuple:
+        if self.some:
+            words = tuple(w for w in words if self.some(w))
+            if not words:
+                return ()
         found = (self.pick(f) for w in words for f in features(w))
         return tuple(dict.fromkeys(x for x in found if x is not None))
 

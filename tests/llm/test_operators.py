@@ -773,3 +773,19 @@ def test_workers_hold_little(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(toxicity, "HELD", 3)
     parts = toxicity.fit(docs, labels)
     assert whole["lexicon"] and whole["lexicon"] == parts["lexicon"] and whole["prior"] == parts["prior"]
+
+
+def test_toxicity_takes_apart_only_words_with_a_wanted_feature(monkeypatch):
+    """A lexicon's reader finds what a reader of all features finds and the lexicon wants, and looks at no other word's features."""
+    rng, whole = random.Random(8), toxicity.features
+    words = ["".join(rng.choices("abcdeéll01@.", k=rng.randrange(1, 11))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(20)]
+    counts = np.array([rng.randrange(9) for _ in range(1 << 18)])
+    everything = toxicity.Reader(counts, lambda f: f).read(texts)
+    lexicon = sorted(set().union(*everything))[::97]
+    pick, seen = toxicity.lexicon_picker(lexicon), []
+    monkeypatch.setattr(toxicity, "features", lambda w: seen.append(w) or whole(w))
+    found = toxicity.Reader(counts, pick).read(texts)
+    assert [x & set(lexicon) for x in found] == [x & set(lexicon) for x in everything] and any(x & set(lexicon) for x in found)
+    heads = {f[1:5] for f in pick.wanted if f[0] == "^"}
+    assert seen and all(w in pick.wanted or w[:4] in heads for w in seen)
