@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import as_uri, make_folder, shared_dir, slices, stored, texts_of, threshold_for_head
+from .shared import as_uri, make_folder, shared_dir, slices, stored, texts_of, threshold_for_head, trimmed
 from .words import BYTE_CHARS, WordEncoder, tokenizer
 
 #: Most words in the table that every task gets; about 30 bytes each.
@@ -107,8 +107,8 @@ def distinct_words(docs: DataFrame, path: str, kind: str) -> DataFrame:
             t = pa.Table.from_batches(held).group_by("word").aggregate([("n", "sum")])
             return pa.record_batch([t.column("word").combine_chunks(), t.column("n_sum").combine_chunks()], names=["word", "n"])
 
-        for batch in batches:
-            for part in slices(batch, chars=2 * SLICE):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=SLICE):
                 _, distinct, idx, _ = enc.split(enc.parts(texts_of(part))[0])
                 n = np.bincount(idx, minlength=len(distinct)).astype(np.int64)
                 held.append(pa.record_batch([distinct, pa.array(n)], names=["word", "n"]))
@@ -130,7 +130,7 @@ def word_table(words: DataFrame, path: str, kind: str) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = WordEncoder(path, kind)
-        for batch in batches:
+        for batch in trimmed(batches):
             ids = enc.words(batch.column(0).to_pylist())
             enc.cache.clear()
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
@@ -150,7 +150,7 @@ def rare_pairs(docs: DataFrame, path: str, kind: str, run: str, table) -> DataFr
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, at = _own_encoder(run, path, kind, table), 0
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in trimmed(batches):
             for part in slices(batch, chars=SLICE):
                 rare, digest = rare_of(enc.split(enc.parts(texts_of(part))[0])[1].to_pylist(), enc.table)
                 n = len(rare)
@@ -214,7 +214,7 @@ def _encode(docs: DataFrame, path: str, kind: str, head_words: int):
         enc, at = _own_encoder(run, path, kind, table), 0
         have = read_rare(folder, TaskContext.get().partitionId())
         known = enc.table
-        for batch in batches:
+        for batch in trimmed(batches):
             for part in slices(batch, chars=SLICE):
                 texts = texts_of(part)
                 pieces, between = enc.parts(texts)

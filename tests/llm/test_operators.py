@@ -789,3 +789,22 @@ def test_toxicity_takes_apart_only_words_with_a_wanted_feature(monkeypatch):
     assert [x & set(lexicon) for x in found] == [x & set(lexicon) for x in everything] and any(x & set(lexicon) for x in found)
     heads = {f[1:5] for f in pick.wanted if f[0] == "^"}
     assert seen and all(w in pick.wanted or w[:4] in heads for w in seen)
+
+
+@pytest.mark.parametrize("name", ["op2_bpe"])
+def test_query_sends_small_batches(spark, table, tmp_path, name):
+    """A worker never gets thousands of long texts at once, and what the query returns does not depend on that."""
+    from recordloom.llm import queries, shared
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    table[1].write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get(key)
+    try:
+        got = []
+        for rows in (10_000, 7):
+            spark.conf.set(key, rows)
+            got.append(sorted(map(str, queries.queries()[name](spark, str(tmp_path)).collect())))
+            assert int(spark.conf.get(key)) == min(rows, shared.ROWS)
+        assert got[0] == got[1] and len(got[0]) == len(table[0])
+    finally:
+        spark.conf.set(key, before)
