@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import as_uri, drop_folder, input_bytes, make_folder, partitions, shared_dir, slices, stored, texts_of
+from .shared import CHARS, as_uri, drop_folder, input_bytes, make_folder, partitions, shared_dir, slices, stored, texts_of, trimmed
 from .words import encoder
 
 MAGIC = b"RLRANS01"
@@ -199,8 +199,8 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
             made, total = made + 1, 0
             return row
 
-        for batch in batches:
-            for part in slices(batch):
+        for batch in trimmed(batches):
+            for part in slices(batch, chars=CHARS):
                 flat, off = enc.encode(texts_of(part))
                 for i, x in enumerate(part.column(0).to_pylist()):
                     doc_ids.append(x)
@@ -230,7 +230,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     out = "file string, doc_id long, place long, n_tokens long, ids binary"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in trimmed(batches):
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = content.as_py()
                 docs, blocks = read_footer(data)

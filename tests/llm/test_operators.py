@@ -791,7 +791,7 @@ def test_toxicity_takes_apart_only_words_with_a_wanted_feature(monkeypatch):
     assert seen and all(w in pick.wanted or w[:4] in heads for w in seen)
 
 
-@pytest.mark.parametrize("name", ["op2_bpe"])
+@pytest.mark.parametrize("name", ["op2_bpe", "op8_token_files"])
 def test_query_sends_small_batches(spark, table, tmp_path, name):
     """A worker never gets thousands of long texts at once, and what the query returns does not depend on that."""
     from recordloom.llm import queries, shared
