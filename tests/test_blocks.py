@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recordloom.functions import similarity as sim
 from recordloom.operators import blocking, decide, evaluate, features
-from recordloom.plans import catalogue
+from recordloom.plans import catalogue, stages
 from recordloom.plans.stages import stored
 
 ALL, SMALL = (1 << 16, 1 << 15), (20, 30)
@@ -121,3 +121,16 @@ def test_jaro_winkler_of_many_pairs(monkeypatch):
     assert sim.jaro_winkler_many(texts, texts, i, j).tolist() == want
     monkeypatch.setattr(sim, "CELLS", 1)
     assert sim.jaro_winkler_many(texts, texts, i, j).tolist() == want
+
+
+def test_blocks_share_their_slices(spark, world):
+    """However many blocks there are, a record with its words is written once; and of the tables on the way only the result stays."""
+    _, norm, keys, _, _ = world
+    counts = []
+    for sides in (ALL, SMALL):
+        blocks = blocking._word_blocks(keys, norm, stored, blocking.MAX_BLOCK, sides)
+        counts.append((len(blocks.blocks), spark.read.parquet(blocks.folder).count()))
+    assert counts[0][0] < counts[1][0] and counts[0][1] == counts[1][1] > 0
+    mark = stages.written()
+    best = catalogue._best(norm, 0.2, 1, "cand_id")
+    assert stages.written() == mark + 1 and best.count() > 0
