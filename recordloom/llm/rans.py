@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import CHARS, as_uri, drop_folder, input_bytes, make_folder, partitions, shared_dir, slices, stored, texts_of, trimmed
+from .shared import as_uri, drop_folder, input_bytes, make_folder, partitions, shared_dir, slices, stored, texts_of, trimmed
 from .words import encoder
 
 MAGIC = b"RLRANS01"
@@ -200,7 +200,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> Da
             return row
 
         for batch in trimmed(batches):
-            for part in slices(batch, chars=CHARS):
+            for part in slices(batch):
                 flat, off = enc.encode(texts_of(part))
                 for i, x in enumerate(part.column(0).to_pylist()):
                     doc_ids.append(x)
